@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, key: str, tie_break: Sequence[str]) -> DataFrame:
+def first_per_key(df: DataFrame, key: str | Sequence[str], tie_break: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``tie_break``, NULLs last.
 
     Written as ``row_number() = 1`` so that the optimizer adds a group limit *before* the shuffle: each map task
     sends one row per key, and a key with a third of all rows costs the reducer one row per map task.
     """
-    window = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in tie_break])
+    keys = [key] if isinstance(key, str) else list(key)
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in tie_break])
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 

@@ -24,13 +24,14 @@ def read_zone(spark: SparkSession, root: str, table: str, schema: StructType | N
     return spark.read.schema(declared).option("pathGlobFilter", "*.parquet").parquet(f"{root}/{table}")
 
 
-def write_days(df: DataFrame, root: str, table: str) -> None:
+def write_days(df: DataFrame, root: str, table: str, rebalance: bool = True) -> None:
     """Replace exactly the ``date`` partitions present in ``df``; other days stay as they are.
 
-    The rebalance hint groups rows by day and lets adaptive execution split a large day into several files and pack
-    small days together, so neither a hot day nor thousands of empty ones decide the task count.
+    Rebalancing groups rows by day and lets adaptive execution split a large day into several files and pack small
+    days together, so neither a hot day nor thousands of tiny ones decide the task count. Rows that come straight
+    from per-day files are already grouped and need no shuffle.
     """
-    sized = df.hint("rebalance", "date")
+    sized = df.hint("rebalance", "date") if rebalance else df
     sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(f"{root}/{table}")
 
 

@@ -5,10 +5,12 @@ Time stamps are text up to the staging models, which are the one place where typ
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DoubleType, IntegerType, StringType, StructField, StructType
+
+_TYPES: dict[str, DataType] = {"string": StringType(), "int": IntegerType(), "double": DoubleType()}
 
 # Table and column names of the raw data set.
-_DDL = {
+_COLUMNS = {
     "orders": """
         order_id string, customer_id string, order_status string, order_purchase_timestamp string,
         order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string,
@@ -37,7 +39,13 @@ _DDL = {
         product_category_name string, product_category_name_english string""",
 }
 
-SCHEMAS: dict[str, StructType] = {table: StructType.fromDDL(ddl) for table, ddl in _DDL.items()}
+
+def _struct(columns: str) -> StructType:
+    pairs = [column.split() for column in columns.split(",")]
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+SCHEMAS: dict[str, StructType] = {table: _struct(columns) for table, columns in _COLUMNS.items()}
 SOURCE_TABLES = tuple(SCHEMAS)
 
 # Copied whole into every delivery instead of being cut by order day.

@@ -44,12 +44,11 @@ join region on r_regionkey = n_regionkey
 RELATIONS["src_sellers"] = """
 select 'S' || s_suppkey as seller_id,
        cast(1000 + (s_suppkey * 7) % 600 as int) as seller_zip_code_prefix,
-       case when twin = 1 then 'ALT_' || n_name else n_name end as seller_city,
+       unnest(if(s_suppkey % 3 = 0, [n_name, 'ALT_' || n_name], [n_name])) as seller_city,
        r_name as seller_state
 from supplier
 join nation on n_nationkey = s_nationkey
 join region on r_regionkey = n_regionkey
-join (values (0), (1)) as copies(twin) on twin = 0 or s_suppkey % 3 = 0
 """
 
 RELATIONS["src_order_items"] = """
@@ -104,9 +103,7 @@ select case when twin = 0 then 'R' else 'R2_' end
        cast(null as varchar) as review_comment_message,
        o_orderdate + interval '30' day as review_creation_date,
        o_orderdate + interval '30' day + interval '1' minute * ((o_orderkey * 101) % 10000) as review_answer_timestamp
-from orders
-join (values (0), (1)) as copies(twin) on twin = 0 or o_orderkey % 8 = 1
-where o_orderkey % 5 <> 0
+from (select *, unnest(if(o_orderkey % 8 = 1, [0, 1], [0])) as twin from orders where o_orderkey % 5 <> 0) copies
 """
 
 # --- staging -------------------------------------------------------------------------------------------------------
