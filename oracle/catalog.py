@@ -18,7 +18,7 @@ from lakemart.plans import GOLD, STAGING, boards, checks
 from lakemart.session import scratch_path
 from lakemart.sources import slicing
 from lakemart.sources.files import read_raw, read_zone, write_days
-from lakemart.sources.standin import standin_source
+from lakemart.sources.standin import standin_source, star_table
 from lakemart.streaming import zones
 from oracle.relations import RELATIONS, with_relations
 
@@ -39,7 +39,7 @@ def on_lake(name: str, build: Callable[[Lake], DataFrame], sql: str | None) -> N
 
 
 def on_tables(name: str, build: Callable[[Callable[[str], DataFrame]], DataFrame], sql: str | None) -> None:
-    register(name, lambda spark, sf_dir: build(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")), sql)
+    register(name, lambda spark, sf_dir: build(lambda t: star_table(spark, sf_dir, t)), sql)
 
 
 # --- models --------------------------------------------------------------------------------------------------------
@@ -267,7 +267,7 @@ def _sliced(table: str) -> Query:
 # The zones keep one folder per day. ``events`` covers a month of days, so its folders grow with the data instead of
 # splitting it into thousands of tiny ones.
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("ts", "order_purchase_timestamp")
+    return star_table(spark, sf_dir, "events").withColumnRenamed("ts", "order_purchase_timestamp")
 
 
 def _bronze(spark: SparkSession, sf_dir: str, root: str) -> None:
