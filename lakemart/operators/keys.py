@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], tie_break: Sequence[str]) -> DataFrame:
@@ -19,12 +20,19 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], tie_break: Sequence[s
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def _rederived(df: DataFrame, key: str) -> DataFrame:
+    """Same rows and key values, but the planner no longer sees that they are partitioned by the key."""
+    column = F.col(key)
+    same = F.concat(column, F.lit("")) if isinstance(df.schema[key].dataType, StringType) else column.bitwiseXOR(F.lit(0))
+    return df.withColumn(key, same)
+
+
 def join_to_grouped(many: DataFrame, grouped: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join fact rows to a frame that is already partitioned by the same (string) key, such as an aggregate on it.
+    """Join fact rows to a frame that is already partitioned by the same (text or integer) key, e.g. an aggregate on it.
 
     The adaptive skew rule only splits a join whose inputs are both exchanges added for that join. An aggregate or
     window on the key leaves its output partitioned, so Spark adds none and a hot key would stay in one task.
     Re-deriving the key hides that partitioning: the smaller, grouped side is exchanged once more and a hot key of
     the fact side is split over many tasks. Costs nothing when the grouped side is small enough to broadcast.
     """
-    return many.join(grouped.withColumn(key, F.concat(F.col(key), F.lit(""))), key, how)
+    return many.join(_rederived(grouped, key), key, how)

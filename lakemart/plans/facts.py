@@ -89,15 +89,11 @@ def fact_shipping_network(lake) -> DataFrame:
     order_spots = (
         lake.model("stg_orders")
         .select("order_id", "customer_id")
-        .join(buyers.join(buyer_spot, "customer_zip_code_prefix"), "customer_id")
+        .join(join_to_grouped(buyers, buyer_spot, "customer_zip_code_prefix"), "customer_id")
         .select("order_id", "cust_lat", "cust_lng")
     )
-    seller_spots = (
-        lake.model("stg_sellers")
-        .select("seller_id", "seller_zip_code_prefix")
-        .join(seller_spot, "seller_zip_code_prefix")
-        .select("seller_id", "sell_lat", "sell_lng")
-    )
+    sellers = lake.model("stg_sellers").select("seller_id", "seller_zip_code_prefix")
+    seller_spots = join_to_grouped(sellers, seller_spot, "seller_zip_code_prefix").select("seller_id", "sell_lat", "sell_lng")
     lines = lake.model("stg_order_items").select("order_id", "seller_id")
     routes = join_to_grouped(lines, seller_spots, "seller_id").join(order_spots, "order_id")
     distance = great_circle_km(F.col("sell_lat"), F.col("sell_lng"), F.col("cust_lat"), F.col("cust_lng"))

@@ -104,17 +104,23 @@ def rpt_customer_rfm(lake) -> DataFrame:
 
 def rpt_seller_performance(lake) -> DataFrame:
     """Sales, delivery and review figures per seller; delivery and reviews are weighted by order lines."""
-    lifecycle = lake.model("fact_order_lifecycle").groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("deliveries"),
+    deliveries = lake.model("fact_order_lifecycle").select(
+        "order_id",
+        "total_delivery_days",
+        F.when(F.col("approval_efficiency") == SLOW, 1).otherwise(0).alias("slow"),
+    )
+    reviews = lake.model("fact_reviews").select(
+        "order_id", "review_score", F.when(F.col("review_id").isNotNull(), 1).otherwise(0).alias("review")
+    )
+    # One row per order with both sets of figures, from one exchange. A figure stays NULL where its side has no row.
+    per_order = deliveries.unionByName(reviews, allowMissingColumns=True).groupBy("order_id").agg(
         F.sum("total_delivery_days").alias("days_sum"),
         F.count("total_delivery_days").alias("days_count"),
-        F.count_if(F.col("approval_efficiency") == SLOW).alias("slow"),
+        F.sum("slow").alias("slow"),
+        F.sum("review_score").alias("score_sum"),
+        F.count("review_score").alias("score_count"),
+        F.sum("review").alias("reviews"),
     )
-    # One row per order with both sets of figures; a union keeps this at one exchange on order_id.
-    both = lifecycle.unionByName(_reviews_per_order(lake), allowMissingColumns=True)
-    figures = [c for c in both.columns if c != "order_id"]
-    per_order = both.groupBy("order_id").agg(*[F.max(c).alias(c) for c in figures])
-
     lines = join_to_grouped(lake.model("fact_order_items"), per_order, "order_id", "left")
     totals = lines.groupBy("seller_id").agg(
         F.countDistinct("order_id").alias("total_orders"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.numbers import to_int_half_even
 from lakemart.functions.text import payment_label
-from lakemart.operators.keys import first_per_key
+from lakemart.operators.keys import first_per_key, join_to_grouped
 
 
 def _stamp(name: str):
@@ -66,7 +66,7 @@ def stg_products(lake) -> DataFrame:
     english = lake.source("product_category_name_translation").groupBy("product_category_name").agg(
         F.min("product_category_name_english").alias("english")
     )
-    return rows.join(english, "product_category_name", "left").select(
+    return join_to_grouped(rows, english, "product_category_name", "left").select(
         "product_id",
         F.coalesce("english", F.lit("Unknown")).alias("product_category_name"),
         to_int_half_even(F.col("product_weight_g")).alias("product_weight_g"),

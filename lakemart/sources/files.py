@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from lakemart.sources.schemas import SCHEMAS
+from lakemart.sources.schemas import FREE_TEXT_TABLES, SCHEMAS
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Headed CSV; a cell that does not parse becomes NULL, quoted cells may span lines."""
-    reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", multiLine=True, escape='"')
-    return reader.csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """Headed CSV; a cell that does not parse becomes NULL.
+
+    ``multi_line`` allows line breaks inside quotes. Spark cannot split such a file, so each is read by one task: use
+    it for tables that need it, delivered as many files.
+    """
+    reader = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", escape='"')
+    return reader.option("multiLine", multi_line).csv(path)
 
 
 def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
-    return read_csv(spark, path, SCHEMAS[table])
+    return read_csv(spark, path, SCHEMAS[table], multi_line=table in FREE_TEXT_TABLES)
 
 
 def read_zone(spark: SparkSession, root: str, table: str, schema: StructType | None = None) -> DataFrame:

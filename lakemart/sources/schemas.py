@@ -50,3 +50,6 @@ SOURCE_TABLES = tuple(SCHEMAS)
 
 # Copied whole into every delivery instead of being cut by order day.
 REFERENCE_TABLES = ("geolocation", "product_category_name_translation")
+
+# Hold text typed by buyers, with line breaks.
+FREE_TEXT_TABLES = ("order_reviews",)
