@@ -57,6 +57,12 @@ class Lake:
             return self.model(dimension).drop(SURROGATE_KEYS[dimension])
         return self._once(f"attributes {dimension}", lambda: ATTRIBUTES[dimension](self))
 
+    def sql(self, text: str, *models: str) -> DataFrame:
+        """Ad-hoc SQL over models, which appear as temporary views under their own names."""
+        for name in models:
+            self.model(name).createOrReplaceTempView(name)
+        return self.spark.sql(text)
+
     def publish(self, name: str) -> DataFrame:
         """Write a model to gold and use the written files from now on."""
         if self.gold is None:

@@ -45,10 +45,3 @@ def write_model(df: DataFrame, gold: str, model: str) -> None:
 
 def read_model(spark: SparkSession, gold: str, model: str) -> DataFrame:
     return spark.read.parquet(f"{gold}/{model}")
-
-
-def run_sql(spark: SparkSession, gold: str, models: list[str], text: str) -> DataFrame:
-    """Ad-hoc SQL over gold models, registered as views under their own names."""
-    for model in models:
-        read_model(spark, gold, model).createOrReplaceTempView(model)
-    return spark.sql(text)

@@ -134,7 +134,9 @@ select product_id,
        ifnull((select min(product_category_name_english) from src_translation t
                where t.product_category_name = p.product_category_name), 'Unknown') as product_category_name,
        product_weight_g, product_length_cm, product_height_cm, product_width_cm
-from src_products p
+from (select distinct on (product_id) * from src_products
+      order by product_id, product_category_name nulls last, product_weight_g, product_length_cm, product_height_cm,
+               product_width_cm) p
 """
 
 RELATIONS["stg_reviews"] = """

@@ -14,7 +14,7 @@ from lakemart.plans import GOLD
 from lakemart.plans.checks import ChecksFailed, duplicate_values, empty_models, gate, not_empty, null_counts, run_checks
 from lakemart.plans.pipeline import build_gold, check_gold, rebuild
 from lakemart.sources import slicing
-from lakemart.sources.files import read_model, read_raw, read_zone, run_sql, write_days
+from lakemart.sources.files import read_model, read_raw, read_zone, write_days
 from lakemart.sources.schemas import SCHEMAS, SOURCE_TABLES
 from lakemart.sources.standin import standin_source
 from lakemart.streaming import zones
@@ -155,7 +155,7 @@ def test_gold_from_silver_passes_its_checks(spark, tmp_path):
     assert results.count() == 17 + 39 + 21
     # The calendar, routes and all others hold; nothing is violated.
     gate(results)
-    counted = run_sql(spark, gold, ["dim_sellers", "dim_products"], "select (select count(*) from dim_sellers) + (select count(*) from dim_products)")
+    counted = lake.sql("select (select count(*) from dim_sellers) + (select count(*) from dim_products)", "dim_sellers", "dim_products")
     assert counted.first()[0] == 210
 
     shutil.rmtree(f"{gold}/dim_sellers")
