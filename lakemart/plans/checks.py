@@ -84,22 +84,21 @@ def empty_models(lake, models: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _model_checks(table: DataFrame, model: str, must_have_rows: bool) -> list[DataFrame]:
-    def labelled(found: DataFrame, check: str, column: Column) -> DataFrame:
-        return found.select(
-            F.lit(model).alias("model"), F.lit(check).alias("check"), column.alias("column"), F.col("failures")
-        )
+def _result(check: str, column: str | None, failures: Column) -> Column:
+    label = F.lit(column).cast("string").alias("column")
+    return F.struct(F.lit(check).alias("check"), label, failures.cast("bigint").alias("failures"))
 
-    checks = []
-    for column in UNIQUE.get(model, []):
-        found = duplicate_values(table, column).agg(F.count(F.lit(1)).alias("failures"))
-        checks.append(labelled(found, "unique", F.lit(column)))
-    if model in NOT_NULL:
-        checks.append(labelled(null_counts(table, NOT_NULL[model]), "not_null", F.col("column")))
+
+def _model_checks(table: DataFrame, model: str, must_have_rows: bool) -> list[DataFrame]:
+    """One pass for all NULL and emptiness checks of a table, one grouped count per unique column."""
+    single_pass = [_result("not_null", c, F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(model, [])]
     if must_have_rows:
-        found = table.limit(1).agg((1 - F.count(F.lit(1))).alias("failures"))
-        checks.append(labelled(found, "not_empty", F.lit(None).cast("string")))
-    return checks
+        single_pass.append(_result("not_empty", None, F.count(F.lit(1)) == 0))
+    checks = [table.agg(F.array(*single_pass).alias("results"))] if single_pass else []
+    for column in UNIQUE.get(model, []):
+        found = duplicate_values(table, column)
+        checks.append(found.agg(F.array(_result("unique", column, F.count(F.lit(1)))).alias("results")))
+    return [c.select(F.inline("results")).select(F.lit(model).alias("model"), "*") for c in checks]
 
 
 def run_checks(lake, models: list[str]) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lakemart.sources.files import write_days
+from lakemart.sources.files import read_zone, write_days
 from lakemart.sources.schemas import REFERENCE_TABLES
 
 
@@ -31,30 +32,47 @@ def children(table: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return table.join(parents.select(key, "date").distinct(), key)
 
 
-def slice_days(source: Callable[[str], DataFrame], first: str, last: str) -> dict[str, DataFrame]:
+def _as_is(_table: str, rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def slice_days(
+    source: Callable[[str], DataFrame], first: str, last: str, keep: Callable[[str, DataFrame], DataFrame] = _as_is
+) -> dict[str, DataFrame]:
     """All nine tables for a range of days, each with a ``date`` column.
 
     One shuffle per table serves every day at once; a day without orders yields no rows anywhere. Sellers and
     products follow the items of the day. The two reference tables carry the first day only: a copy per day would
-    multiply them by the number of days, and no model gains from equal copies.
+    multiply them by the number of days, and no model gains from equal copies. ``keep`` may store a slice and give
+    back the stored form, on which the dependent slices then build.
     """
-    orders = orders_between(source("orders"), first, last)
-    items = children(source("order_items"), orders, "order_id")
-    slices = {
-        "orders": orders,
-        "order_items": items,
-        "order_payments": children(source("order_payments"), orders, "order_id"),
-        "order_reviews": children(source("order_reviews"), orders, "order_id"),
-        "customers": children(source("customers"), orders, "customer_id"),
-        "sellers": children(source("sellers"), items, "seller_id"),
-        "products": children(source("products"), items, "product_id"),
-    }
+    slices = {"orders": keep("orders", orders_between(source("orders"), first, last))}
+    hops = (
+        ("order_items", "orders", "order_id"),
+        ("order_payments", "orders", "order_id"),
+        ("order_reviews", "orders", "order_id"),
+        ("customers", "orders", "customer_id"),
+        ("sellers", "order_items", "seller_id"),
+        ("products", "order_items", "product_id"),
+    )
+    for table, parent, key in hops:
+        slices[table] = keep(table, children(source(table), slices[parent], key))
     for table in REFERENCE_TABLES:
-        slices[table] = source(table).withColumn("date", F.lit(first).cast("date"))
+        slices[table] = keep(table, source(table).withColumn("date", F.lit(first).cast("date")))
     return slices
 
 
-def backfill(source: Callable[[str], DataFrame], first: str, last: str, root: str) -> None:
-    """Write a range of days of every table under ``root/<table>/date=<day>``; running it again replaces them."""
-    for table, rows in slice_days(source, first, last).items():
+def backfill(source: Callable[[str], DataFrame], first: str, last: str, root: str) -> dict[str, DataFrame]:
+    """Write a range of days of every table under ``root/<table>/date=<day>``; running it again replaces them.
+
+    Orders and items are needed by several tables; they are read back from the files just written instead of being
+    cut from the raw data again.
+    """
+
+    def store(table: str, rows: DataFrame) -> DataFrame:
         write_days(rows, root, table)
+        schema = StructType([f for f in rows.schema.fields if f.name != "date"])
+        days = F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        return read_zone(rows.sparkSession, root, table, schema).where(days)
+
+    return slice_days(source, first, last, store)
