@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import near_dedup
+from lakemart.llm import decontaminate, near_dedup, pii
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: ``doc_id``, counts by kind, ``base_sha256``, ``spans``."""
+    return pii.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain: ``doc_id, item_id, similarity, first_word, n_words``."""
+    docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    return decontaminate.leaks(docs, items)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +26,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }
 
