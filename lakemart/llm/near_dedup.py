@@ -31,6 +31,8 @@ SIMILARITY = 0.8
 BANDS = 20
 BAND_ROWS = 4
 BLOCK_TEXTS = 256
+# Bits of the screen that keeps most other texts out of the exchange of candidates' texts: 64 for each of these words.
+SCREEN_WORDS = 1 << 17
 
 _U64 = np.uint64
 
@@ -140,6 +142,17 @@ def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, "key long, shingles array<int>")
 
 
+def _screened(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose ``key`` may be among the keys of ``wanted``; none that is among them is left out.
+
+    A bit map of hashed keys, at most ``SCREEN_WORDS`` rows however many keys there are, goes to every executor.
+    """
+    hashed = F.xxhash64("key", F.lit(5))
+    word, bit = F.pmod(hashed, F.lit(SCREEN_WORDS)).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(hashed, 40).cast("int").bitwiseAND(63))
+    bits = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return texts.withColumn("word", word).join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits")
+
+
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Number of common elements of every left with every right set."""
     both = np.intersect1d(np.concatenate(left), np.concatenate(right))
@@ -216,7 +229,7 @@ def _links(distinct: DataFrame, texts: DataFrame, bands: int, words: int, simila
     pairs = materialize(stars.where("key <> pivot").select("key", "pivot").distinct(), "pairs")
 
     met = materialize(distinct.join(popular, "key").select("key", "same_a", "same_b"), "met")
-    sets = materialize(_shingle_sets(texts.join(met, ["key", "same_a", "same_b"], "left_semi"), words), "shingles")
+    sets = materialize(_shingle_sets(_screened(texts, met).join(met, ["key", "same_a", "same_b"], "left_semi"), words), "shingles")
     mine = materialize(pairs.join(sets, "key"), "mine")
     other = sets.select(F.col("key").alias("pivot"), F.col("shingles").alias("theirs"))
     common = F.size(F.array_intersect("shingles", "theirs"))

@@ -102,6 +102,21 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(hashes), first, np.searchsorted(first, offsets)
 
 
+def word_prefixes(data: np.ndarray, offsets: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``size`` bytes of the words that begin at ``first`` and are longer, and which words they are."""
+    edge = np.minimum(first + size, len(data) - 1)
+    text = np.searchsorted(offsets, first, side="right")
+    longer = (first + size < offsets[text]) if len(first) else np.zeros(0, bool)
+    for step in range(1, size + 1):
+        longer &= _IS_WORD[data[np.minimum(first + step, len(data) - 1)]]
+    kept = np.flatnonzero(longer & (edge == first + size))
+    total = np.zeros(len(kept), _U64)
+    with np.errstate(over="ignore"):
+        for step in range(size):
+            total += _BYTE[data[first[kept] + step]] * _POWERS[step]
+    return mix64(total), kept
+
+
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shingle hashes in text order, the word each begins at, and the ``n + 1`` offsets of the texts in shingles."""
     ends = np.repeat(offsets[1:], np.diff(offsets))
