@@ -4,24 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import near_dedup
+from lakemart.llm import decontaminate, near_dedup, pieces, pii, toxicity
 from lakemart.session import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit_on_labels(docs, labels))
+
+
 def one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays."""
     return near_dedup.keep_one(docs)
 
 
-STAGES = [("near_dedup", one_per_class)]
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by the name of its kind."""
+    return pii.mask(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled piece ids, and whether decoding them gives the very text."""
+    return pieces.encode(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", one_per_class),
+    ("decontamination", drop_leaks),
+    ("pii", mask_personal_data),
+    ("pieces", encode_pieces),
+]
 
 # Learned scores, hashed signatures and sampled segmentations are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage's result is written once to the shared scratch area."""
+    """The last stage's rows; every other stage's result is written once to the shared scratch area."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage_{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

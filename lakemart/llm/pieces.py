@@ -30,27 +30,52 @@ RANK_OFFSET = 10.0
 SPACE = "▁"
 
 _U64 = np.uint64
-_CHUNK_CHARS = 1 << 20
-_CACHED_NODES = 1 << 21
+_CHUNK_CHARS = 1 << 21
+_SPELLED = 1 << 24
+_NO_CHARACTER = 0x7FFFFF
+_SPELLED_WEIGHT = -14.0
 
 
 @dataclass
 class PieceModel:
-    """What tasks need of a vocabulary."""
-
-    weights: dict[str, tuple[int, float]]  # of every piece and, with weight 0, of every beginning of one
-    byte_ids: list[int]
+    """What tasks need of a vocabulary: its beginnings as a trie in an open hash table, and what the pieces spell."""
+
+    keys: np.ndarray  # state and character of each transition, 0 in empty slots
+    targets: np.ndarray
+    probes: int
+    piece: np.ndarray  # piece that ends in each state, or -1
+    log_weight: np.ndarray
+    byte_ids: np.ndarray
     blob: np.ndarray  # bytes of all pieces, one after the other, the space as such
     starts: np.ndarray
 
+    def step(self, states: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        """The state after each character, or -1."""
+        keys = _transition(states, characters)
+        slots = (mix64(keys) & _U64(len(self.keys) - 1)).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        left = np.arange(len(keys))
+        for _ in range(self.probes):
+            found = self.keys[slots[left]]
+            hit = found == keys[left]
+            out[left[hit]] = self.targets[slots[left[hit]]]
+            left = left[~hit & (found != 0)]
+            slots[left] = (slots[left] + 1) & (len(self.keys) - 1)
+        return out
+
+
+def _transition(states: np.ndarray, characters: np.ndarray) -> np.ndarray:
+    return (states.astype(_U64) << _U64(24)) | (characters.astype(_U64) + _U64(1))
+
 
 def load_model(path: str = MODEL_PATH, alpha: float = ALPHA) -> PieceModel:
     """Read a SentencePiece model file on the driver; its pieces are shipped with the tasks."""
     from sentencepiece import SentencePieceProcessor
 
     processor = SentencePieceProcessor(model_file=path)
-    weights: dict[str, tuple[int, float]] = {}
-    byte_ids, spelled = [0] * 256, []
+    states: dict[str, int] = {"": 0}
+    ends: dict[str, tuple[int, float]] = {}
+    byte_ids, spelled = np.zeros(256, np.int32), []
     for number in range(processor.get_piece_size()):
         piece = processor.id_to_piece(number)
         if processor.is_byte(number):
@@ -62,116 +87,137 @@ def load_model(path: str = MODEL_PATH, alpha: float = ALPHA) -> PieceModel:
             continue
         spelled.append(piece.replace(SPACE, " ").encode())
         if SPACE not in piece[1:]:
-            weights[piece] = (number, (max(0.0, -processor.get_score(number)) + RANK_OFFSET) ** -alpha)
-    for piece in list(weights):
-        for end in range(1, len(piece)):
-            weights.setdefault(piece[:end], (-1, 0.0))
+            ends[piece] = (number, -alpha * np.log(max(0.0, -processor.get_score(number)) + RANK_OFFSET))
+            for end in range(1, len(piece) + 1):
+                states.setdefault(piece[:end], len(states))
+    keys = np.zeros(1 << int(np.ceil(np.log2(4 * len(states)))), _U64)
+    targets, probes = np.zeros(len(keys), np.int32), 1
+    for beginning, state in states.items():
+        if beginning:
+            key = _transition(np.array([states[beginning[:-1]]]), np.array([ord(beginning[-1])]))
+            slot, tries = int(mix64(key)[0] & _U64(len(keys) - 1)), 1
+            while keys[slot]:
+                slot, tries = (slot + 1) & (len(keys) - 1), tries + 1
+            keys[slot], targets[slot], probes = key[0], state, max(probes, tries)
+    piece, weight = np.full(len(states), -1, np.int32), np.zeros(len(states))
+    for text, (number, log_weight) in ends.items():
+        piece[states[text]], weight[states[text]] = number, log_weight
     lengths = np.array([len(s) for s in spelled])
-    return PieceModel(weights, byte_ids, np.frombuffer(b"".join(spelled), np.uint8), np.r_[0, np.cumsum(lengths)])
-
-
-class _Lattices:
-    """Filtered lattices of words. Node 0 is where every word begins; edges lead backwards."""
-
-    def __init__(self, model: PieceModel):
-        self.model = model
-        self.clear()
-
-    def clear(self) -> None:
-        self.last: dict[str, int] = {}  # the node where a word ends
-        self.first_edge: list[int] = [0]
-        self.reach: list[float] = []
-        self.before: list[int] = []
-        self.piece: list[int] = []
-        self.arrays: list[np.ndarray] | None = None
-
-    def _node(self, edges: list[tuple[float, int, int]], total: float) -> int:
-        """A node with the given edges (weight, node before, piece), the likeliest first."""
-        edges.sort(reverse=True)
-        sum_ = 0.0
-        for weight, before, piece in edges:
-            sum_ += weight / total
-            self.reach.append(sum_)
-            self.before.append(before)
-            self.piece.append(piece)
-        self.reach[-1] = 2.0  # rounding never leads past the last edge
-        self.first_edge.append(len(self.reach))
-        return len(self.first_edge) - 1
-
-    def add(self, word: str) -> int:
-        weights, byte_ids = self.model.weights, self.model.byte_ids
-        plain = SPACE + word.replace(SPACE, "\0")
-        size = len(plain)
-        incoming: list[list | None] = [None] * (size + 1)
-        chance, nodes = [0.0] * (size + 1), [0] * (size + 1)
-        chance[0] = 1.0
-        for begin in range(size):
-            if begin:
-                edges = incoming[begin]
-                if edges is None:
-                    continue
-                total = sum(edge[0] for edge in edges)
-                nodes[begin] = self._node(edges, total)
-                incoming[begin] = None
-                chance[begin] = total
-                if total < 1e-150:  # keep long words in range; only ratios at one place matter
-                    chance[begin] = 1.0
-                    for later in range(begin + 1, min(size, begin + 64) + 1):
-                        if incoming[later]:
-                            incoming[later] = [(w / total, b, p) for w, b, p in incoming[later]]
-            own, node, single = chance[begin], nodes[begin], False
-            for end in range(begin + 1, size + 1):
-                found = weights.get(plain[begin:end])
-                if found is None:
-                    break
-                if found[1]:
-                    single |= end == begin + 1
-                    edge = (own * found[1], node, found[0])
-                    if incoming[end] is None:
-                        incoming[end] = [edge]
-                    else:
-                        incoming[end].append(edge)
-            if not single:  # no piece for this character: its bytes
-                spelled = (SPACE + word)[begin].encode() if begin else b" "
-                for byte in spelled[:-1]:
-                    node = self._node([(1.0, node, byte_ids[byte])], 1.0)
-                edge = (own * 1e-6, node, byte_ids[spelled[-1]])
-                incoming[begin + 1] = [edge] if incoming[begin + 1] is None else [*incoming[begin + 1], edge]
-        edges = incoming[size]
-        node = self.last[word] = self._node(edges, sum(edge[0] for edge in edges))
-        self.arrays = None
-        return node
-
-    def sampled(self, words: list[str], state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids of all words in order and the number of pieces of each, from one random state per word."""
-        if len(self.first_edge) > _CACHED_NODES:
-            self.clear()
-        last, add = self.last, self.add
-        node = np.fromiter((last[w] if w in last else add(w) for w in words), np.int64, len(words))
-        if self.arrays is None:
-            self.arrays = [np.array(x) for x in (self.first_edge, self.reach, self.before, self.piece)]
-        first_edge, reach, before, piece = self.arrays
-        active, rounds = np.arange(len(words)), []
-        sizes = np.zeros(len(words), np.int64)
-        with np.errstate(over="ignore"):
-            while len(active):
-                state = mix64(state + _U64(0x9E3779B97F4A7C15))
-                drawn = (state >> _U64(11)).astype(np.float64) / 9007199254740992.0
-                edge = first_edge[node - 1]
-                open_ = np.flatnonzero(reach[edge] <= drawn)
-                while len(open_):
-                    edge[open_] += 1
-                    open_ = open_[reach[edge[open_]] <= drawn[open_]]
-                rounds.append((active, piece[edge]))
-                sizes[active] += 1
-                node = before[edge]
-                going = np.flatnonzero(node)
-                active, node, state = active[going], node[going], state[going]
-        ends = np.cumsum(sizes)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
-        for step, (which, ids) in enumerate(rounds, 1):
-            out[ends[which] - step] = ids
-        return out, sizes
+    return PieceModel(keys, targets, probes, piece, weight, byte_ids, np.frombuffer(b"".join(spelled), np.uint8), np.r_[0, np.cumsum(lengths)])
+
+
+@dataclass
+class _Lattice:
+    """The filtered lattices of some words, edges grouped by the node they end in."""
+
+    last: np.ndarray  # the node where each word ends
+    begins: np.ndarray  # whether a word begins at a node
+    first_edge: np.ndarray
+    reach: np.ndarray  # running probability within a node's edges
+    before: np.ndarray
+    piece: np.ndarray  # piece id, or _SPELLED + code point for a character spelled in bytes
+
+
+def _filtered(words: list[str], model: PieceModel) -> _Lattice:
+    """Forward filtering of all words at once, one place in the words at a time."""
+    sizes = np.array([len(w) + 1 for w in words])
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    codes = np.frombuffer("".join([SPACE + w for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    looked_up = np.where(codes == ord(SPACE), _NO_CHARACTER, codes)
+    looked_up[begins] = ord(SPACE)
+    word = np.repeat(np.arange(len(words)), sizes)
+    place = np.arange(len(codes))
+    limit = ends[word]
+    start, stop, piece, weight = [], [], [], []
+    active, state, length = place, np.zeros(len(codes), np.int64), 0
+    single = np.zeros(len(codes), bool)
+    while len(active):
+        inside = active + length < limit[active]
+        active, state = active[inside], state[inside]
+        state = model.step(state, looked_up[active + length])
+        active, state = active[state >= 0], state[state >= 0]
+        length += 1
+        is_piece = model.piece[state] >= 0
+        at = active[is_piece]
+        if length == 1:
+            single[at] = True
+        start.append(at)
+        stop.append(at + length)
+        piece.append(model.piece[state[is_piece]].astype(np.int64))
+        weight.append(model.log_weight[state[is_piece]])
+    bare = np.flatnonzero(~single)
+    start.append(bare)
+    stop.append(bare + 1)
+    piece.append(_SPELLED + codes[bare])
+    weight.append(np.full(len(bare), _SPELLED_WEIGHT))
+    start, stop, piece, weight = (np.concatenate(x) for x in (start, stop, piece, weight))
+    # A word of n characters has n + 1 nodes; the node before character i is i + the number of the word.
+    base = word[start]
+    depth = stop - begins[base]
+    order = np.lexsort((stop, depth))
+    node_from, node_to, depth = (start + base)[order], (stop + base)[order], depth[order]
+    piece, weight = piece[order], weight[order]
+    groups = np.flatnonzero(np.r_[True, node_to[1:] != node_to[:-1]])
+    group_of = np.repeat(np.arange(len(groups)), np.diff(np.r_[groups, len(node_to)]))
+    chance = np.zeros(len(codes) + len(words))
+    share = np.zeros(len(node_to))
+    steps = np.searchsorted(depth, np.arange(1, int(depth[-1]) + 2))
+    for low, high in zip(steps[:-1], steps[1:], strict=True):
+        own = groups[group_of[low] : group_of[high - 1] + 1]
+        value = chance[node_from[low:high]] + weight[low:high]
+        most = np.maximum.reduceat(value, own - low)
+        local = group_of[low:high] - group_of[low]
+        part = np.exp(value - most[local])
+        total = np.add.reduceat(part, own - low)
+        chance[node_to[own]] = most + np.log(total)
+        share[low:high] = part / total[local]
+    reach = np.cumsum(share)
+    reach -= (reach - share)[groups][group_of]
+    reach[np.r_[groups[1:], len(node_to)] - 1] = 2.0  # rounding never leads past the last edge
+    first_edge = np.zeros(len(chance), np.int64)
+    first_edge[node_to[groups]] = groups
+    first_node = np.zeros(len(chance), bool)
+    first_node[begins + np.arange(len(words))] = True
+    return _Lattice(ends + np.arange(len(words)), first_node, first_edge, reach, node_from, piece)
+
+
+def _sampled(words: list[str], state: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of all words in order and the number of pieces of each, from one random state per word."""
+    numbers: dict[str, int] = {}
+    which = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+    lattice = _filtered(list(numbers), model)
+    node, active, rounds = lattice.last[which], np.arange(len(words)), []
+    sizes = np.zeros(len(words), np.int64)
+    with np.errstate(over="ignore"):
+        while len(active):
+            state = mix64(state + _U64(0x9E3779B97F4A7C15))
+            drawn = (state >> _U64(11)).astype(np.float64) / 9007199254740992.0
+            edge = lattice.first_edge[node]
+            open_ = np.flatnonzero(lattice.reach[edge] <= drawn)
+            while len(open_):
+                edge[open_] += 1
+                open_ = open_[lattice.reach[edge[open_]] <= drawn[open_]]
+            rounds.append((active, lattice.piece[edge]))
+            sizes[active] += 1
+            node = lattice.before[edge]
+            going = np.flatnonzero(~lattice.begins[node])
+            active, node, state = active[going], node[going], state[going]
+    ends = np.cumsum(sizes)
+    out = np.empty(int(ends[-1]), np.int64)
+    for step, (occurrence, ids) in enumerate(rounds, 1):
+        out[ends[occurrence] - step] = ids
+    spelled = np.flatnonzero(out >= _SPELLED)
+    if not len(spelled):
+        return out.astype(np.int32), sizes
+    bytes_ = [chr(c - _SPELLED).encode("utf-8", "surrogatepass") for c in out[spelled].tolist()]
+    each = np.ones(len(out), np.int64)
+    each[spelled] = [len(b) for b in bytes_]
+    after = np.cumsum(each)
+    full = np.repeat(out, each)
+    place = np.concatenate([np.arange(e - len(b), e) for e, b in zip(after[spelled], bytes_, strict=True)])
+    full[place] = model.byte_ids[np.frombuffer(b"".join(bytes_), np.uint8)]
+    return full.astype(np.int32), np.diff(np.r_[0, after[ends - 1]])
 
 
 def _cut(text: str) -> Iterator[str]:
@@ -186,8 +232,8 @@ def _cut(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
-def _encoded(texts: list[str], keys: np.ndarray, lattices: _Lattices) -> Iterator[np.ndarray]:
-    """Piece ids of each text; texts go through together, about a million characters at a time."""
+def _encoded(texts: list[str], keys: np.ndarray, model: PieceModel) -> Iterator[np.ndarray]:
+    """Piece ids of each text; texts go through together, about two million characters at a time."""
     row, rows = 0, len(texts)
     while row < rows:
         stop, chars = row, 0
@@ -204,7 +250,7 @@ def _encoded(texts: list[str], keys: np.ndarray, lattices: _Lattices) -> Iterato
             place_in_text = np.arange(counts.sum()) - np.repeat(begins, counts) + place
             with np.errstate(over="ignore"):
                 state = mix64(np.repeat(keys[[r for r, _ in group]], counts) + mix64(place_in_text.astype(_U64)))
-            found, sizes = lattices.sampled([w for s in split for w in s], state)
+            found, sizes = _sampled([w for s in split for w in s], state, model)
             ends = np.r_[0, np.cumsum(sizes)][np.r_[begins, counts.sum()]]
             for (r, _), low, high in zip(group, ends[:-1], ends[1:], strict=True):
                 ids[r].append(found[low:high])
@@ -243,14 +289,13 @@ def encode(docs: DataFrame, text_col: str = "text", key: str | Column = "doc_id"
     keyed = docs.withColumn("__key", F.xxhash64(F.col(key) if isinstance(key, str) else key, F.lit(seed)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = _Lattices(model)
         for batch in batches:
             column = batch.column(text_col)
             keys = mix64(batch.column("__key").to_numpy(zero_copy_only=False).view(_U64) ^ seeded(41, 1)[0])
             for low in range(0, batch.num_rows, 1024):
                 texts = column.slice(low, 1024).to_pylist()
                 there = [t is not None for t in texts]
-                ids = list(_encoded([t or "" for t in texts], keys[low : low + 1024], lattices))
+                ids = list(_encoded([t or "" for t in texts], keys[low : low + 1024], model))
                 lossless = [_decoded(i, model) == t.encode() if t is not None else None for i, t in zip(ids, texts, strict=True)]
                 ids = [i if t else i[:0] for i, t in zip(ids, there, strict=True)]
                 part = batch.slice(low, 1024)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, near_dedup, pii
+from lakemart.llm import decontaminate, near_dedup, pieces, pii, toxicity
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,18 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentation of every document: ``doc_id, piece_ids, n_pieces, lossless``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return pieces.encode(docs).drop("text")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document: ``doc_id, held_out, score, predicted``."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    return toxicity.judged(docs, labels)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents contain: ``doc_id, item_id, similarity, first_word, n_words``."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
@@ -27,6 +39,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_pieces": op2_pieces,
+    "op5_toxicity": op5_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }

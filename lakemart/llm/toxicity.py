@@ -26,6 +26,10 @@ MAX_FEATURES = 2048
 BEGINNINGS = (4, 5, 6, 7, 8)
 LEAST_GAIN = 30.0
 LEAST_LIFT = 2.5
+# A feature counts as so many inputs: that often at least, then at least once in so many words.
+OFTEN = (1, 2, 4)
+DENSE = (400, 150, 60)
+LEVELS = len(OFTEN) + len(DENSE)
 THRESHOLD = 0.7
 
 _U64 = np.uint64
@@ -34,7 +38,7 @@ _SCREEN_BITS = 20
 
 @dataclass
 class ToxicityModel:
-    """Sorted feature hashes with their weights, a bias, and a screen of the hashes' low bits."""
+    """Sorted feature hashes, their weights (``LEVELS`` for each) and a bias."""
 
     features: np.ndarray
     weights: np.ndarray
@@ -57,18 +61,23 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
 
 
 def _present(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel, screen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text and feature number of every model feature that is present, each pair once."""
-    rows, numbers = [], []
-    if not len(model.features):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for hashes, row in _features(data, offsets):
+    """Text and input number of every input that is on, ordered by text: how often and how densely a feature occurs."""
+    rows, numbers, n_words = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], None
+    for hashes, row in _features(data, offsets) if len(model.features) else ():
+        if n_words is None:
+            n_words = np.bincount(row, minlength=len(offsets) - 1)
         hit = np.flatnonzero(screen[(hashes & _U64((1 << _SCREEN_BITS) - 1)).astype(np.int64)])
         at = np.minimum(np.searchsorted(model.features, hashes[hit]), len(model.features) - 1)
         same = model.features[at] == hashes[hit]
         rows.append(row[hit[same]])
         numbers.append(at[same])
-    pairs = np.unique(np.concatenate(rows) * len(model.features) + np.concatenate(numbers))
-    return pairs // len(model.features), pairs % len(model.features)
+    width = max(1, len(model.features))
+    pairs, counts = np.unique(np.concatenate(rows) * width + np.concatenate(numbers), return_counts=True)
+    row, number = pairs // width, pairs % width
+    on = [counts >= often for often in OFTEN] + [counts * dense >= n_words[row] for dense in DENSE] if len(row) else [counts > 0] * LEVELS
+    text = np.concatenate([row[level] for level in on])
+    order = np.argsort(text, kind="stable")
+    return text[order], np.concatenate([number[level] * LEVELS + k for k, level in enumerate(on)])[order]
 
 
 def _distinct_texts(sample: DataFrame) -> DataFrame:
@@ -115,7 +124,7 @@ def _gain(p: Column, u: Column, n_p: int, n_u: int) -> Column:
     return F.when(rate < 1, 2 * (part(p, n_p) + part(u, n_u))).otherwise(0.0)
 
 
-def fit_nnpu(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_features: int, prior: float, steps: int = 600, rate: float = 0.05, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+def fit_nnpu(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_features: int, prior: float, steps: int = 1500, rate: float = 0.05, penalty: float = 2e-5) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic model on presence features.
 
     ``rows, columns`` list the present features of the sample's texts; ``positive`` marks the confirmed ones.
@@ -169,7 +178,7 @@ def fit(positives: DataFrame, unlabelled: DataFrame, prior: float, max_positive:
     chosen = _counted(sample).where(lift >= LEAST_LIFT).withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN)
     chosen = chosen.orderBy(F.desc("gain"), "feature").limit(max_features).select("feature").collect()
     features = np.sort(np.array([row["feature"] for row in chosen], np.int64).view(_U64))
-    model = ToxicityModel(features, np.zeros(len(features)), 0.0)
+    model = ToxicityModel(features, np.zeros(len(features) * LEVELS), 0.0)
     screen = model.screen()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +190,7 @@ def fit(positives: DataFrame, unlabelled: DataFrame, prior: float, max_positive:
     found = sample.mapInArrow(run, "positive boolean, present array<int>").orderBy("positive", "present").toPandas()
     sizes = found["present"].map(len).to_numpy()
     columns = np.concatenate([np.asarray(x, np.int64) for x in found["present"]])
-    weights, bias = fit_nnpu(np.repeat(np.arange(len(found)), sizes), columns, found["positive"].to_numpy(bool), len(features), prior)
+    weights, bias = fit_nnpu(np.repeat(np.arange(len(found)), sizes), columns, found["positive"].to_numpy(bool), len(features) * LEVELS, prior)
     return ToxicityModel(features, weights, bias)
 
 
