@@ -229,7 +229,8 @@ def _links(distinct: DataFrame, texts: DataFrame, bands: int, words: int, simila
     pairs = materialize(stars.where("key <> pivot").select("key", "pivot").distinct(), "pairs")
 
     met = materialize(distinct.join(popular, "key").select("key", "same_a", "same_b"), "met")
-    sets = materialize(_shingle_sets(_screened(texts, met).join(met, ["key", "same_a", "same_b"], "left_semi"), words), "shingles")
+    # An inner join: a semi-join would be pushed below the screen.
+    sets = materialize(_shingle_sets(_screened(texts, met).join(met, ["key", "same_a", "same_b"]), words), "shingles")
     mine = materialize(pairs.join(sets, "key"), "mine")
     other = sets.select(F.col("key").alias("pivot"), F.col("shingles").alias("theirs"))
     common = F.size(F.array_intersect("shingles", "theirs"))
