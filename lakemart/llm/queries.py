@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, near_dedup, pieces, pii, toxicity
+from lakemart.llm import decontaminate, licenses, near_dedup, pieces, pii, toxicity, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,16 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs).drop("text")
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: ``page_id, host, path, rule, verdict, score``."""
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License templates that documents hold: ``doc_id, license, containment, first_word``."""
+    return licenses.find_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document: ``doc_id, held_out, score, predicted``."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
@@ -40,6 +50,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_pieces": op2_pieces,
+    "op4_urls": op4_urls,
+    "op6_licenses": op6_licenses,
     "op5_toxicity": op5_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
