@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, licenses, near_dedup, pieces, pii, toxicity, urls
+from lakemart.llm import decontaminate, language, licenses, near_dedup, neighbours, pieces, pii, toxicity, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(docs, labels)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document: ``doc_id, held_out, lang_pred, score``."""
+    return language.identified(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every twentieth vector: ``query_id, rank, vec_id, score``."""
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents contain: ``doc_id, item_id, similarity, first_word, n_words``."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
@@ -53,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_urls": op4_urls,
     "op6_licenses": op6_licenses,
     "op5_toxicity": op5_toxicity,
+    "op7_language": op7_language,
+    "op10_neighbours": op10_neighbours,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }
