@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, language, licenses, near_dedup, neighbours, pieces, pii, toxicity, urls
+from lakemart.llm import decontaminate, html, language, licenses, near_dedup, neighbours, pieces, pii, toxicity, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs).drop("text")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page: ``page_id, url, text, n_chars``."""
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL: ``page_id, host, path, rule, verdict, score``."""
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -60,6 +65,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_pieces": op2_pieces,
+    "op3_html": op3_html,
     "op4_urls": op4_urls,
     "op6_licenses": op6_licenses,
     "op5_toxicity": op5_toxicity,
