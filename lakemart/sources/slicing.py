@@ -13,12 +13,12 @@ from lakemart.sources.schemas import REFERENCE_TABLES
 
 
 def order_day(orders: DataFrame) -> Column:
-    """First ten characters of the purchase stamp; works on text and on timestamps."""
-    return F.to_date(F.substring(orders["order_purchase_timestamp"].cast("string"), 1, 10))
+    """First ten characters of the purchase stamp; works on text and on timestamps. No date gives NULL."""
+    return F.try_to_date(F.substring(orders["order_purchase_timestamp"].cast("string"), 1, 10))
 
 
 def orders_between(orders: DataFrame, first: str, last: str) -> DataFrame:
-    """Orders of the days ``first`` to ``last`` inclusive, with their ``date``."""
+    """Orders of the days ``first`` to ``last`` inclusive, with their ``date``; stamps that are no date are in no day."""
     dated = orders.withColumn("date", order_day(orders))
     return dated.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 

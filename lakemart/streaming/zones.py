@@ -5,6 +5,10 @@ their target partitions replaced. Running a batch twice, or losing executors hal
 day that arrives in several pieces ends up complete. Days are few (one row per calendar day), files and rows never
 pass through the driver. The checkpoint remembers the files already seen, so each day folder is taken once; a day
 written again under a new file name is picked up again, and ``replace_day`` covers one re-written in place.
+
+With an archive, a day is what landing and archive hold of it together. Files are moved only after their days are
+written, so a batch that is repeated finds every file in one place or the other; of two files with the same name
+landing's is the newer.
 """
 
 from __future__ import annotations
@@ -44,6 +48,32 @@ def _run(stream: DataFrame, work: Callable[[list[str]], None], checkpoint: str)
     return writer.trigger(availableNow=True).start()
 
 
+def _day_files(spark: SparkSession, root: str, entry: str) -> dict[str, str]:
+    """Data files of one table and day, by their path below ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{entry}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return {}
+    if files.getFileStatus(path).isFile():
+        return {entry: str(path)}
+    found = [f.getPath() for f in files.listStatus(path) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return {f"{entry}/{f.getName()}": str(f) for f in found}
+
+
+def _move(spark: SparkSession, landing: str, archive: str, names: list[str]) -> None:
+    """Move files from landing to the same place in the archive, over an older file of the same name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(archive).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in names:
+        source, target = path(f"{landing}/{name}"), path(f"{archive}/{name}")
+        if not files.exists(source):
+            continue  # moved by the run that this one repeats
+        files.mkdirs(target.getParent())
+        files.delete(target, False)
+        if not files.rename(source, target):
+            raise OSError(f"could not move {source} to {target}")
+
+
 def read_landing(
     spark: SparkSession,
     landing: str,
@@ -51,8 +81,13 @@ def read_landing(
     days: list[str],
     schema: StructType | None = None,
     layout: str = DAY_FOLDERS,
+    archive: str | None = None,
 ) -> DataFrame:
-    paths = [f"{landing}/{layout.format(day=day, table=table)}" for day in days]
+    """All rows of a table for some days: of the landing zone and, if there is one, of its archive."""
+    entries = [layout.format(day=day, table=table) for day in days]
+    paths = [f"{landing}/{entry}" for entry in entries]
+    if archive is not None:
+        paths = [p for e in entries for p in (_day_files(spark, archive, e) | _day_files(spark, landing, e)).values()]
     return spark.read.schema(schema or SCHEMAS[table]).parquet(*paths).withColumn("date", _folder_day())
 
 
@@ -69,18 +104,21 @@ def landing_to_bronze(
 ) -> StreamingQuery:
     """Take every new landing file of a table into ``<bronze>/<table>/date=<day>/``, then stop.
 
-    ``archive`` moves consumed files away, which also keeps the listing of the landing zone short;
-    ``files_per_trigger`` sets the replay pace.
+    ``archive`` moves consumed files away, which also keeps the listing of the landing zone short; landing and archive
+    must be on one file system. ``files_per_trigger`` sets the replay pace. Neither changes what bronze holds in the end.
     """
     source = spark.readStream.schema(schema or SCHEMAS[table])
     if files_per_trigger is not None:
         source = source.option("maxFilesPerTrigger", files_per_trigger)
     if archive is not None:
-        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+        source = source.option("ignoreMissingFiles", True)  # files that the run before a failure has moved already
     arrived = source.parquet(f"{landing}/{layout.format(day='*', table=table)}").select(_folder_day().alias("date"))
 
     def ingest(days: list[str]) -> None:
-        write_days(read_landing(spark, landing, table, days, schema, layout), bronze, table, rebalance=False)
+        here = [name for day in days for name in _day_files(spark, landing, layout.format(day=day, table=table))] if archive else []
+        write_days(read_landing(spark, landing, table, days, schema, layout, archive), bronze, table, rebalance=False)
+        if archive is not None:
+            _move(spark, landing, archive, here)
 
     return _run(arrived, ingest, f"{checkpoint}/{table}")
 
@@ -120,7 +158,8 @@ def replace_day(
     day: str,
     schema: StructType | None = None,
     layout: str = DAY_FOLDERS,
+    archive: str | None = None,
 ) -> None:
     """Take one day again, e.g. after its landing file was re-written under the same name."""
-    write_days(read_landing(spark, landing, table, [day], schema, layout), bronze, table, rebalance=False)
+    write_days(read_landing(spark, landing, table, [day], schema, layout, archive), bronze, table, rebalance=False)
     promote_days(spark, bronze, silver, table, [day], schema)

@@ -52,10 +52,14 @@ def test_one_day_slice(spark):
     assert slicing.slice_days(source, "1980-01-01", "1980-01-01")["order_items"].count() == 0
 
 
+def write_records(path, table, records):
+    schema = pa.schema([(f.name, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[f.dataType.simpleString()]) for f in SCHEMAS[table]])
+    pq.write_table(pa.Table.from_pylist(records, schema), path)
+
+
 def land(root, day, table, records):
     os.makedirs(f"{root}/{day}", exist_ok=True)
-    schema = pa.schema([(f.name, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[f.dataType.simpleString()]) for f in SCHEMAS[table]])
-    pq.write_table(pa.Table.from_pylist(records, schema), f"{root}/{day}/{table}.parquet")
+    write_records(f"{root}/{day}/{table}.parquet", table, records)
 
 
 def payment(n, value=1.0):
@@ -113,6 +117,54 @@ def test_a_day_written_again_is_replaced(spark, lake_dirs):
     assert rows(silver) == [("o1", 5.0), ("o2", 1.0)]
 
 
+def land_piece(root, day, name, records):
+    path = f"{root}/{day}/order_payments.parquet"
+    os.makedirs(path, exist_ok=True)
+    write_records(f"{path}/{name}.parquet", "order_payments", records)
+
+
+@pytest.mark.parametrize("archived", [False, True])
+@pytest.mark.parametrize("paced", [None, 1])
+def test_pieces_of_a_day_all_reach_bronze(spark, lake_dirs, tmp_path, archived, paced):
+    options = {"archive": str(tmp_path / "archive") if archived else None, "files_per_trigger": paced}
+    for n in (1, 2, 3):
+        land_piece(lake_dirs[0], "2017-01-01", f"first{n}", [payment(n)])
+    land_piece(lake_dirs[0], "2017-01-02", "other", [payment(9)])
+    assert [r[0] for r in run_zones(spark, lake_dirs, **options)[0]] == ["o1", "o2", "o3", "o9"]
+    for n in (4, 5):  # one piece for each later run
+        land_piece(lake_dirs[0], "2017-01-01", f"later{n}", [payment(n)])
+        bronze, silver = run_zones(spark, lake_dirs, **options)
+    assert [r[0] for r in bronze] == [r[0] for r in silver] == ["o1", "o2", "o3", "o4", "o5", "o9"]
+    assert bool(glob.glob(f"{lake_dirs[0]}/**/*.parquet", recursive=True)) != archived or os.path.isdir(lake_dirs[0])
+
+
+def test_a_failed_batch_is_repeated_without_loss(spark, lake_dirs, tmp_path, monkeypatch):
+    archive = str(tmp_path / "archive")
+    for n in (1, 2):
+        land_piece(lake_dirs[0], "2017-01-01", f"piece{n}", [payment(n)])
+    move, calls = zones._move, []
+
+    def broken(spark_, landing, to, names):
+        move(spark_, landing, to, sorted(names)[:1])  # one file is gone, then the run dies
+        calls.append(names)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(zones, "_move", broken)
+    with pytest.raises(Exception, match="lost"):
+        run_zones(spark, lake_dirs, archive=archive)
+    monkeypatch.setattr(zones, "_move", move)
+    bronze, silver = run_zones(spark, lake_dirs, archive=archive)
+    assert calls and [r[0] for r in bronze] == [r[0] for r in silver] == ["o1", "o2"]
+    land_piece(lake_dirs[0], "2017-01-01", "piece2", [payment(7)])  # the same name again: the newer file counts
+    zones.replace_day(spark, *lake_dirs[:3], "order_payments", "2017-01-01", archive=archive)
+    assert rows(read_zone(spark, lake_dirs[2], "order_payments").select("order_id")) == [("o1",), ("o7",)]
+
+
+def test_a_stamp_that_is_no_date_is_in_no_day(spark):
+    orders = spark.createDataFrame([("a", "2017-01-01 10:00:00"), ("b", "n/a"), ("c", None), ("d", "2017-02-30 00:00:00")], "order_id string, order_purchase_timestamp string")
+    assert rows(slicing.orders_between(orders, "2017-01-01", "2017-12-31").select("order_id")) == [("a",)]
+
+
 def test_consumed_files_are_archived(spark, lake_dirs, tmp_path):
     archive = str(tmp_path / "archive")
     for day in ("2017-01-01", "2017-01-02"):
