@@ -32,3 +32,13 @@ def exact_mean(value: Column, digits: int = 2) -> Column:
     """
     total = F.sum(value.cast(f"decimal(18,{digits})")).cast("double")
     return total / F.nullif(F.count(value).cast("double"), F.lit(0.0))
+
+
+def money(value: Column) -> Column:
+    """An amount as an exact decimal, so that sums do not depend on the order in which rows meet."""
+    return value.cast("decimal(18,4)")
+
+
+def money_sum(value: Column) -> Column:
+    """Sum of amounts, added up exactly, as a double."""
+    return F.sum(money(value)).cast("double")

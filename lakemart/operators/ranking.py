@@ -12,6 +12,7 @@ once) spreads over partitions like any other data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,14 +49,60 @@ def global_row_number(df: DataFrame, name: str, order: Sequence[Column]) -> Data
     return _drop_helpers(_numbered(df, order).withColumn(name, F.col("_number")))
 
 
-def global_ntile(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) -> DataFrame:
-    """Adds ``name`` = NTILE(tiles) in ``order``: the first ``n mod tiles`` tiles hold one row more."""
-    numbered = _numbered(df, order)
-    small = F.floor(F.col("_total") / tiles)
-    large_tiles = F.col("_total") % tiles
+def _tile(index: Column, total: Column, tiles: int) -> Column:
+    """NTILE of the row with this index, from 0, among ``total`` rows."""
+    small = F.floor(total / tiles)
+    large_tiles = total % tiles
     in_large = large_tiles * (small + 1)
-    index = F.col("_number") - 1
     tile = F.when(index < in_large, F.floor(index / (small + 1))).otherwise(
         large_tiles + F.floor(F.try_divide(index - in_large, small))
     )
-    return _drop_helpers(numbered.withColumn(name, (tile + 1).cast("bigint")))
+    return (tile + 1).cast("bigint")
+
+
+def global_ntile(df: DataFrame, name: str, tiles: int, order: Sequence[Column]) -> DataFrame:
+    """Adds ``name`` = NTILE(tiles) in ``order``: the first ``n mod tiles`` tiles hold one row more."""
+    numbered = _numbered(df, order)
+    return _drop_helpers(numbered.withColumn(name, _tile(F.col("_number") - 1, F.col("_total"), tiles)))
+
+
+def global_ntiles(df: DataFrame, key: str, tiles: int, few: dict[str, Column], many: dict[str, Column]) -> DataFrame:
+    """Adds several NTILE columns at once, each in the order of a number and then of ``key``; NULLs come last.
+
+    ``key`` is unique. The numbers in ``few`` take few values (days, small counts): rows are counted per value, and a
+    value whose rows all fall in one tile needs no ranking. What is left of them, the rows of the at most
+    ``tiles - 1`` values on a tile's edge, is ranked together with the rows of ``many`` in one sort. The counts per
+    value see a single-task window; ``df`` is written once.
+    """
+    rows = materialize(df, "tiled")
+    known, ranked = [], []
+    for name, number in few.items():
+        values = rows.groupBy(number.cast("decimal(38,4)").alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+        by_value = Window.orderBy(F.col("_value").asc_nulls_last())
+        values = values.withColumn("_first", F.sum("_rows").over(by_value) - F.col("_rows"))
+        values = values.withColumn("_total", F.sum("_rows").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        first = _tile(F.col("_first"), F.col("_total"), tiles)
+        last = _tile(F.col("_first") + F.col("_rows") - 1, F.col("_total"), tiles)
+        values = values.select("_value", "_first", "_total", F.when(first == last, first).alias("_tile"))
+        own = rows.select(F.col(key).alias("_key"), number.cast("decimal(38,4)").alias("_own"))
+        found = own.join(values, F.col("_own").eqNullSafe(F.col("_value"))).select(F.lit(name).alias("_name"), "_key", "_value", "_first", "_total", "_tile")
+        known.append(found.where("_tile is not null").select("_name", "_key", "_tile"))
+        ranked.append(found.where("_tile is null").drop("_tile"))
+    total = rows.agg(F.count(F.lit(1)).alias("_total")).scalar()
+    for name, number in many.items():
+        ranked.append(
+            rows.select(
+                F.lit(name).alias("_name"), F.col(key).alias("_key"), number.cast("decimal(38,4)").alias("_value"), F.lit(0).cast("bigint").alias("_first"), total.alias("_total")
+            )
+        )
+    every = reduce(DataFrame.union, ranked).withColumnRenamed("_total", "_rows")
+    numbered = _numbered(every, [F.col("_name"), F.col("_value").asc_nulls_last(), F.col("_key").asc_nulls_last()])
+    # Within one column and, for the few, one value, the ranks run on without a gap: subtract where they begin.
+    group = ["_name", "_group"]
+    numbered = numbered.withColumn("_group", F.when(F.col("_name").isin(list(few)), F.coalesce(F.col("_value").cast("string"), F.lit("null"))).otherwise(""))
+    begins = numbered.groupBy(*group).agg(F.min("_number").alias("_begin"))
+    index = F.col("_first") + F.col("_number") - F.col("_begin")
+    placed = numbered.join(F.broadcast(begins), group).select("_name", "_key", _tile(index, F.col("_rows"), tiles).alias("_tile"))
+    found = reduce(DataFrame.union, [placed, *known])
+    scores = found.groupBy("_key").agg(*[F.max(F.when(F.col("_name") == n, F.col("_tile"))).alias(n) for n in [*few, *many]])
+    return rows.join(scores, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")

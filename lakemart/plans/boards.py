@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.numbers import exact_mean, ratio, round_half_away
+from lakemart.functions.numbers import exact_mean, money_sum, ratio
 from lakemart.operators.report import histogram, profile, repeatable_sample, top_n, value_counts
 
 # Fixed values of the report pages.
@@ -16,7 +16,6 @@ RISKY_CATEGORIES, RISKY_MIN_REVIEWS = 15, 10
 TOP_PAIRS = 20
 SEGMENT_PREVIEW = 100
 SAMPLE_ROWS, SAMPLE_SEED, ROUTE_ROWS = 2000, 42, 2000
-DISTANCE_DIGITS = 3
 
 
 def _month_label(column: str) -> Column:
@@ -33,12 +32,13 @@ def kpi_executive(lake) -> DataFrame:
         (ratio(F.sum(F.col("is_late").cast("int")), F.count(F.lit(1))) * 100).alias("late_rate"),
     )
     items = lake.model("fact_order_items").agg(
-        F.sum("total_line_value").alias("revenue"), F.avg("total_line_value").alias("mean_line")
+        money_sum(F.col("total_line_value")).alias("revenue"),
+        ratio(money_sum(F.col("total_line_value")), F.count("total_line_value")).alias("mean_line"),
     )
     days = lake.model("fact_order_lifecycle").agg(exact_mean(F.col("total_delivery_days"), 0).alias("mean_days"))
-    # A surrogate key is one number per natural key, so counting either gives the same answer.
-    customers = lake.attributes("dim_customers").agg(F.countDistinct("customer_unique_id").alias("n"))
-    sellers = lake.attributes("dim_sellers").agg(F.countDistinct("seller_id").alias("n"))
+    # A surrogate key is one number per natural key, so the keys are counted without building the dimensions.
+    customers = lake.model("stg_customers").agg(F.countDistinct("customer_unique_id").alias("n"))
+    sellers = lake.source("sellers").agg(F.countDistinct("seller_id").alias("n"))
     return orders.select(
         "total_orders",
         "late_rate",
@@ -186,12 +186,11 @@ def risky_categories(lake, n: int = RISKY_CATEGORIES, min_reviews: int = RISKY_M
 
 
 def shipping_kpis(lake) -> DataFrame:
-    km = round_half_away(F.col("distance_km"), DISTANCE_DIGITS)
     return lake.model("rpt_shipping_efficiency").agg(
         F.count(F.lit(1)).alias("deliveries"),
         (ratio(F.count_if("is_late"), F.count(F.lit(1))) * 100).alias("late_rate"),
         exact_mean(F.col("total_delivery_days"), 0).alias("avg_delivery_days"),
-        exact_mean(km, DISTANCE_DIGITS).alias("avg_distance_km"),
+        F.avg("distance_km").alias("avg_distance_km"),
     )
 
 
@@ -204,14 +203,12 @@ def distance_bucket_counts(lake) -> DataFrame:
 
 
 def distance_vs_days_sample(lake, rows: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED) -> DataFrame:
-    km = round_half_away(F.col("distance_km"), DISTANCE_DIGITS).alias("distance_km")
-    points = lake.model("rpt_shipping_efficiency").select("order_id", km, "total_delivery_days", "is_late")
+    points = lake.model("rpt_shipping_efficiency").select("order_id", "distance_km", "total_delivery_days", "is_late")
     return repeatable_sample(points, rows, "order_id", seed)
 
 
 def longest_route(lake) -> DataFrame:
-    km = round_half_away(F.max("distance_km"), DISTANCE_DIGITS)
-    return lake.model("fact_shipping_network").agg(km.alias("max_distance_km"))
+    return lake.model("fact_shipping_network").agg(F.max("distance_km").alias("max_distance_km"))
 
 
 def routes_within(lake, max_km: float, rows: int = ROUTE_ROWS) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import days_crossed, month_start, months_crossed
-from lakemart.functions.numbers import ratio, round_half_away
+from lakemart.functions.numbers import money, money_sum, ratio, round_half_away
 from lakemart.operators.baskets import pair_totals, value_totals, weighted_baskets
 from lakemart.operators.keys import join_to_grouped
-from lakemart.operators.ranking import global_ntile
+from lakemart.operators.ranking import global_ntile, global_ntiles
 from lakemart.plans.facts import DELIVERED, SLOW
 
 # Fixed values of the business rules.
@@ -35,7 +35,7 @@ def _places(lake) -> DataFrame:
 def _sales_per_order(lake) -> DataFrame:
     """Line values summed per order before any join, so that an order with very many lines joins as one row."""
     return lake.model("fact_order_items").groupBy("order_id").agg(
-        F.sum("total_line_value").alias("line_sum"), F.count("total_line_value").alias("line_count")
+        F.sum(money(F.col("total_line_value"))).alias("line_sum"), F.count("total_line_value").alias("line_count")
     )
 
 
@@ -72,10 +72,10 @@ def rpt_customer_rfm(lake) -> DataFrame:
         F.max("date_key").alias("last_order_date"),
         F.sum("line_sum").alias("monetary"),
     )
-    # The longest silence comes first, i.e. the oldest last order: no need to know the newest date for the tiles.
-    for score, measure in (("r_score", "last_order_date"), ("f_score", "frequency"), ("m_score", "monetary")):
-        order = [F.col(measure).asc_nulls_last(), F.col("customer_id").asc_nulls_last()]
-        scored = global_ntile(scored, score, RFM_TILES, order)
+    # The longest silence comes first, i.e. the oldest last order: no need to know the newest date for the tiles. Days
+    # and order counts take few values; only money needs a rank for every person.
+    few = {"r_score": F.unix_date("last_order_date"), "f_score": F.col("frequency")}
+    scored = global_ntiles(scored, "customer_id", RFM_TILES, few, {"m_score": F.col("monetary")})
 
     newest = scored.agg(F.max("last_order_date")).scalar()
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
@@ -93,7 +93,7 @@ def rpt_customer_rfm(lake) -> DataFrame:
         "customer_state",
         days_crossed(F.col("last_order_date"), newest).alias("recency_days"),
         "frequency",
-        round_half_away(F.col("monetary"), 2).alias("monetary"),
+        round_half_away(F.col("monetary").cast("double"), 2).alias("monetary"),
         r,
         f,
         m,
@@ -125,8 +125,8 @@ def rpt_seller_performance(lake) -> DataFrame:
     totals = lines.groupBy("seller_id").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.count(F.lit(1)).alias("total_items_sold"),
-        round_half_away(F.sum("total_line_value"), 2).alias("total_revenue"),
-        round_half_away(F.avg("item_price"), 2).alias("avg_item_price"),
+        round_half_away(money_sum(F.col("total_line_value")), 2).alias("total_revenue"),
+        round_half_away(ratio(money_sum(F.col("item_price")), F.count("item_price")), 2).alias("avg_item_price"),
         round_half_away(ratio(F.sum("days_sum"), F.sum("days_count")), 1).alias("avg_delivery_days"),
         F.sum("slow").alias("slow_approvals"),
         round_half_away(ratio(F.sum("score_sum"), F.sum("score_count")), 2).alias("avg_review_score"),
@@ -152,8 +152,8 @@ def rpt_product_category_analysis(lake) -> DataFrame:
     return lines.groupBy("product_category_name").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.sum(copies).alias("total_items_sold"),
-        round_half_away(F.sum(F.col("total_line_value") * copies), 2).alias("total_revenue"),
-        round_half_away(ratio(F.sum(F.col("item_price") * copies), F.sum(priced)), 2).alias("avg_price"),
+        round_half_away(F.sum(money(F.col("total_line_value")) * copies).cast("double"), 2).alias("total_revenue"),
+        round_half_away(ratio(F.sum(money(F.col("item_price")) * copies).cast("double"), F.sum(priced)), 2).alias("avg_price"),
         round_half_away(ratio(F.sum("score_sum"), F.sum("score_count")), 2).alias("avg_review_score"),
         low.alias("low_reviews"),
         reviews.alias("total_reviews"),
@@ -214,14 +214,18 @@ def rpt_cohort_retention(lake) -> DataFrame:
 def rpt_revenue_trends(lake) -> DataFrame:
     """Monthly sales of delivered orders with growth, rolling mean and running total."""
     orders = _delivered_orders(lake).select("order_id", "customer_id", month_start(F.col("date_key")).alias("month"))
-    lines = lake.model("fact_order_items").select("order_id", "product_id", "total_line_value")
-    monthly = lines.join(orders, "order_id").groupBy("month").agg(
+    # Orders and customers are counted on one row per order; only the distinct products need the lines.
+    revenue = F.sum("line_sum").cast("double")
+    totals = _sales_per_order(lake).join(orders, "order_id").groupBy("month").agg(
         F.countDistinct("order_id").alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
-        round_half_away(F.sum("total_line_value"), 2).alias("total_revenue"),
-        round_half_away(F.avg("total_line_value"), 2).alias("avg_order_value"),
-        F.countDistinct("product_id").alias("unique_products_sold"),
+        round_half_away(revenue, 2).alias("total_revenue"),
+        round_half_away(ratio(revenue, F.sum("line_count")), 2).alias("avg_order_value"),
     )
+    lines = lake.model("fact_order_items").select("order_id", "product_id")
+    sold = lines.join(orders.select("order_id", "month"), "order_id").select("month", "product_id").distinct()
+    products = sold.groupBy(F.col("month").alias("sold_month")).agg(F.count("product_id").alias("unique_products_sold"))
+    monthly = totals.join(products, F.col("month").eqNullSafe(F.col("sold_month"))).drop("sold_month")
     # One row per month: an unpartitioned window is bounded by the calendar.
     by_month = Window.orderBy(F.col("month").asc_nulls_last())
     recent = by_month.rowsBetween(1 - ROLLING_MONTHS, Window.currentRow)
@@ -245,7 +249,7 @@ def rpt_customer_ltv(lake) -> DataFrame:
     placed = orders.join(_persons(lake), "customer_id")
     placed = placed.join(_sales_per_order(lake), "order_id", "left").join(_reviews_per_order(lake), "order_id", "left")
     sold = (F.col("order_status") == DELIVERED) & F.col("line_count").isNotNull()
-    spend = F.sum(F.when(sold, F.col("line_sum")))
+    spend = F.sum(F.when(sold, F.col("line_sum"))).cast("double")
     persons = placed.groupBy(F.col("person").alias("customer_id")).agg(
         F.count_if(sold).alias("sold_orders"),
         F.min(F.when(sold, F.col("date_key"))).alias("first_order_date"),

@@ -7,6 +7,7 @@ themselves; all of them over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from lakemart.operators import baskets, intervals, keys, ranking, report
 from lakemart.plans import GOLD, STAGING, boards, checks
 from lakemart.session import scratch_path
 from lakemart.sources import slicing
-from lakemart.sources.files import read_raw, read_zone, write_days
+from lakemart.sources.files import read_model, read_raw, read_zone, write_days
+from lakemart.sources.schemas import SCHEMAS, SOURCE_TABLES
 from lakemart.sources.standin import standin_source, star_table
 from lakemart.streaming import zones
 from oracle.relations import RELATIONS, with_relations
@@ -134,14 +136,12 @@ on_lake(
               count(*) as customers
        from rpt_customer_ltv group by 1 order by 2 desc, 1 limit 15""",
 )
-# The order dates span 80 months.
-_OFFSETS = list(range(80))
 on_lake(
     "cohort_matrix",
-    lambda lake: boards.cohort_matrix(lake, _OFFSETS),
-    "select strftime(cohort_month, '%Y-%m') as cohort, "
-    + ", ".join(f"max(retention_pct) filter (months_since_first = {o}) as m{o:02d}" for o in _OFFSETS)
-    + " from rpt_cohort_retention group by 1",
+    boards.cohort_matrix,
+    """select * from (pivot (select strftime(cohort_month, '%Y-%m') as cohort, printf('m%02d', months_since_first) as o,
+                                   retention_pct from rpt_cohort_retention)
+                      on o using max(retention_pct) group by cohort)""",
 )
 on_lake(
     "cohort_sizes",
@@ -184,12 +184,19 @@ on_lake(
     """select * from rpt_product_category_analysis where total_reviews >= 10
        order by low_review_pct desc nulls last, product_category_name limit 15""",
 )
+
+
+
+def _to_the_metre(build: Callable[[Lake], DataFrame], column: str) -> Callable[[Lake], DataFrame]:
+    return lambda lake: (frame := build(lake)).withColumn(column, numbers.round_half_away(frame[column], _KM_DIGITS))
+
+
 on_lake(
     "shipping_kpis",
-    boards.shipping_kpis,
+    _to_the_metre(boards.shipping_kpis, "avg_distance_km"),
     """select count(*) as deliveries, count(*) filter (is_late)::double / count(*) * 100 as late_rate,
               avg(total_delivery_days) as avg_delivery_days,
-              sum(round(distance_km, 3)::decimal(18, 3))::double / count(distance_km) as avg_distance_km
+              round(avg(distance_km), 3) as avg_distance_km
        from rpt_shipping_efficiency""",
 )
 for _bucket in ("delivery_bucket", "distance_bucket"):
@@ -200,11 +207,13 @@ for _bucket in ("delivery_bucket", "distance_bucket"):
     )
 on_lake(
     "distance_vs_days_sample",
-    boards.distance_vs_days_sample,
+    _to_the_metre(boards.distance_vs_days_sample, "distance_km"),
     """select order_id, round(distance_km, 3) as distance_km, total_delivery_days, is_late from rpt_shipping_efficiency
        order by md5(order_id || '#42'), 1, 2, 3, 4 limit 2000""",
 )
-on_lake("longest_route", boards.longest_route, "select round(max(distance_km), 3) as max_distance_km from fact_shipping_network")
+on_lake(
+    "longest_route", _to_the_metre(boards.longest_route, "max_distance_km"), "select round(max(distance_km), 3) as max_distance_km from fact_shipping_network"
+)
 on_lake(
     "routes_within",
     lambda lake: boards.routes_within(lake, 1500.0),
@@ -249,19 +258,45 @@ on_lake(
 
 # --- sources and zones ---------------------------------------------------------------------------------------------
 
-_FIRST, _LAST = "1995-01-01", "2001-12-31"
 _DAY_SQL = "order_purchase_timestamp::date"
+# A range that leaves out days at either end.
+_FROM, _TO = "1997-03-10", "1997-04-20"
+_RANGE_SQL = f"{_DAY_SQL} between date '{_FROM}' and date '{_TO}'"
+
+
+def _raw(rows: DataFrame, table: str) -> DataFrame:
+    """All declared columns in their order and raw type (stamps are text); those the stand-in lacks are NULL."""
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields])
+
+
+def _from_csv(model: str) -> Query:
+    """A staging model over raw tables that were delivered as CSV."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "csv")
+
+        def source(table: str) -> DataFrame:
+            raw = standin_source(spark, sf_dir)(table)
+            raw = _raw(raw, table)
+            raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).write.csv(f"{root}/{table}", header=True, escape='"')
+            return read_raw(spark, table, f"{root}/{table}")
+
+        return Lake(spark, source).model(model)
+
+    return build
 
 
-def _csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = standin_source(spark, sf_dir)("orders")
-    path = scratch_path(spark, "orders-csv")
-    raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).write.csv(path, header=True, escape='"')
-    return Lake(spark, lambda table: read_raw(spark, table, path)).model("stg_orders")
+def _sliced(table: str, first: str | None = None, last: str | None = None) -> Query:
+    """Slices of a range of days, or of all days that the orders have."""
 
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = standin_source(spark, sf_dir)
+        orders = source("orders")
+        day = slicing.order_day(orders)
+        ends = orders.agg(F.min(day), F.max(day)).first()
+        return slicing.slice_days(source, first or str(ends[0]), last or str(ends[1]))[table]
 
-def _sliced(table: str) -> Query:
-    return lambda spark, sf_dir: slicing.slice_days(standin_source(spark, sf_dir), _FIRST, _LAST)[table]
+    return build
 
 
 # The zones keep one folder per day. ``events`` covers a month of days, so its folders grow with the data instead of
@@ -273,8 +308,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bronze(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Deliver every event twice, as a landing zone with repeated rows would, and ingest it."""
     events = _events(spark, sf_dir)
-    dated = slicing.orders_between(events.unionByName(events), "2024-01-01", "2024-12-31")
-    write_days(dated, f"{root}/landing", "events")
+    twice = events.unionByName(events)
+    write_days(twice.withColumn("date", slicing.order_day(twice)), f"{root}/landing", "events")
     zones.landing_to_bronze(
         spark,
         f"{root}/landing",
@@ -302,14 +337,77 @@ def _silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone(spark, f"{root}/silver", "events", schema)
 
 
-def _backfilled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir)
-    root = scratch_path(spark, "backfill")
-    write_days(slicing.orders_between(events, "2024-01-01", "2024-12-31"), root, "events")
-    return read_zone(spark, root, "events", events.schema)
-
-
-register("src_read_csv", _csv_orders, "select * from stg_orders")
+def _pieces_in_archive(files_per_trigger: int | None) -> Query:
+    """Every day in three pieces, two of them in a first run and one in a second, consumed files moved to an archive."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, events = scratch_path(spark, "pieces"), _events(spark, sf_dir)
+        dated = events.withColumn("date", slicing.order_day(events)).withColumn("piece", F.col("event_id") % 3)
+        for pieces in ((0, 1), (2,)):
+            for piece in pieces:
+                part = dated.where(F.col("piece") == piece).drop("piece").hint("rebalance", "date")
+                part.write.mode("append").partitionBy("date").parquet(f"{root}/landing/events")
+            zones.landing_to_bronze(
+                spark, f"{root}/landing", f"{root}/bronze", "events", f"{root}/seen", schema=events.schema,
+                layout=zones.TABLE_FOLDERS, archive=f"{root}/archive", files_per_trigger=files_per_trigger,
+            ).awaitTermination()
+        return read_zone(spark, f"{root}/bronze", "events", events.schema)
+
+    return build
+
+
+_BACKFILL_KEYS = {
+    "orders": "order_id",
+    "order_items": "order_id",
+    "order_payments": "order_id",
+    "order_reviews": "review_id",
+    "customers": "customer_id",
+    "sellers": "seller_id",
+    "products": "product_id",
+    "geolocation": "geolocation_zip_code_prefix",
+    "product_category_name_translation": "product_category_name",
+}
+
+
+def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables of a range written and read back: rows, smallest and largest key of each table and day."""
+    source, root = standin_source(spark, sf_dir), scratch_path(spark, "backfill")
+    slicing.backfill(source, _FROM, _TO, root)
+    parts = []
+    for table, column in _BACKFILL_KEYS.items():
+        key = F.col(column).cast("string")
+        stored = read_zone(spark, root, table, source(table).schema)
+        parts.append(
+            stored.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+            .select(F.lit(table).alias("name"), "date", "n", "first_key", "last_key")
+        )
+    return reduce(DataFrame.union, parts)
+
+
+def _silver_lake(spark: SparkSession, sf_dir: str, *published: str) -> Lake:
+    """All nine tables in silver, each whole, and some models in gold built on them."""
+    root = scratch_path(spark, "lake")
+    for table in SOURCE_TABLES:
+        rows = standin_source(spark, sf_dir)(table)
+        write_days(_raw(rows, table).withColumn("date", F.lit("2000-01-01").cast("date")), f"{root}/silver", table)
+    lake = Lake.from_silver(spark, f"{root}/silver", gold=f"{root}/gold")
+    for model in published:
+        lake.publish(model)
+    return lake
+
+
+def _gold(model: str, *before: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = _silver_lake(spark, sf_dir, *before, model)
+        return read_model(spark, lake.gold, model)
+
+    return build
+
+
+register("src_read_csv", _from_csv("stg_orders"), "select * from stg_orders")
+for _name in STAGING:
+    if _name != "stg_orders":
+        register(f"src_read_csv_{_name.removeprefix('stg_')}", _from_csv(_name), f"select * from {_name}")
 register("src_day_slice", _sliced("orders"), f"select *, {_DAY_SQL} as date from src_orders")
 register(
     "src_single_day",
@@ -343,7 +441,42 @@ on_lake(
 _EVENTS_SQL = "select * rename (ts as order_purchase_timestamp), ts::date as date from events"
 register("str_landing_to_bronze", _bronze_events, f"{_EVENTS_SQL} union all {_EVENTS_SQL}")
 register("str_bronze_to_silver", _silver_events, _EVENTS_SQL)
-register("str_backfill_range", _backfilled_events, _EVENTS_SQL)
+register("str_landing_archive", _pieces_in_archive(None), _EVENTS_SQL)
+register("str_paced_replay", _pieces_in_archive(7), _EVENTS_SQL)
+_IN_RANGE = f"(select *, {_DAY_SQL} as date from src_orders where {_RANGE_SQL})"
+register("src_slice_range", _sliced("order_items", _FROM, _TO), f"select c.*, o.date from src_order_items c join {_IN_RANGE} o on o.order_id = c.order_id")
+_RANGE_TABLES = {
+    "orders": f"select * from {_IN_RANGE} o",
+    "order_items": f"select c.*, o.date from src_order_items c join {_IN_RANGE} o on o.order_id = c.order_id",
+    "order_payments": f"select c.*, o.date from src_payments c join {_IN_RANGE} o on o.order_id = c.order_id",
+    "order_reviews": f"select c.*, o.date from src_reviews c join {_IN_RANGE} o on o.order_id = c.order_id",
+    "customers": f"select c.*, o.date from src_customers c join {_IN_RANGE} o on o.customer_id = c.customer_id",
+    "geolocation": f"select *, date '{_FROM}' as date from src_geolocation",
+    "product_category_name_translation": f"select *, date '{_FROM}' as date from src_translation",
+    **{
+        t: f"select t.*, d.date from src_{t} t join (select distinct i.{k}, o.date from src_order_items i join {_IN_RANGE} o "
+        f"on o.order_id = i.order_id) d on d.{k} = t.{k}"
+        for t, k in (("sellers", "seller_id"), ("products", "product_id"))
+    },
+}
+register(
+    "str_backfill_range",
+    _backfilled,
+    " union all ".join(
+        f"select '{t}' as name, date, count(*) as n, min({k}::varchar) as first_key, max({k}::varchar) as last_key from ({_RANGE_TABLES[t]}) r group by date"
+        for t, k in _BACKFILL_KEYS.items()
+    ),
+)
+register("gold_fact_orders", _gold("fact_orders"), "select * from fact_orders")
+register("gold_rpt_cohort_retention", _gold("rpt_cohort_retention", "fact_orders"), "select * from rpt_cohort_retention")
+register(
+    "sql_over_gold",
+    lambda spark, sf_dir: _silver_lake(spark, sf_dir, "dim_products", "fact_order_items").sql(
+        "select product_category_name, count(*) as n from fact_order_items join dim_products using (product_id) group by 1",
+        "dim_products", "fact_order_items",
+    ),
+    "select product_category_name, count(*) as n from fact_order_items join dim_products using (product_id) group by 1",
+)
 
 # --- checks --------------------------------------------------------------------------------------------------------
 
@@ -365,13 +498,18 @@ on_lake(
     lambda lake: checks.not_empty(lake.model("fact_orders").where("order_status = 'lost'")),
     "select 0::bigint as row_count where not exists (select 1 from fact_orders where order_status = 'lost')",
 )
-on_lake(
-    "dq_models_not_empty",
-    lambda lake: checks.empty_models(lake, list(GOLD)),
-    "select '' as model_name, 0::bigint as row_count where false",
-)
+def _without_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake whose payments are missing: exactly the models made of them are empty."""
+    source = standin_source(spark, sf_dir)
+    lake = Lake(spark, lambda table: source(table).where("false") if table == "order_payments" else source(table))
+    return checks.empty_models(lake, _CHECKED_GOLD)
+
+
+# The calendar reads no table.
+_CHECKED_GOLD = [m for m in GOLD if m != "dim_date"]
+register("dq_models_not_empty", _without_payments, "select 'fact_payments' as model_name, 0::bigint as row_count")
 
-_CHECKED = [m for m in [*STAGING, *GOLD] if m.startswith(("stg_", "fact_"))]
+_CHECKED = [m for m in [*STAGING, *GOLD] if m != "dim_date"]
 
 
 def _gate_sql() -> str:

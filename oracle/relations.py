@@ -177,15 +177,16 @@ select zip as zip_code_prefix, round(lat, 6) as latitude, round(lng, 6) as longi
 
 # --- facts ---------------------------------------------------------------------------------------------------------
 
+# Fixed values of the business rules: labels, limits and status lists below equal those of the models.
 RELATIONS["fact_orders"] = """
 select order_id, customer_id, order_purchase_timestamp::date as date_key, order_status,
-       order_estimated_delivery_date < order_delivered_customer_date as is_late
+       order_delivered_customer_date > order_estimated_delivery_date as is_late
 from stg_orders
 """
 
 RELATIONS["fact_order_items"] = """
 select order_id, order_item_id, product_id, seller_id, price as item_price, freight_value,
-       freight_value + price as total_line_value
+       price + freight_value as total_line_value
 from stg_order_items
 """
 
@@ -200,7 +201,7 @@ select *, datediff('hour', review_creation_date, review_answer_timestamp) as res
 
 RELATIONS["fact_order_lifecycle"] = """
 select order_id, lag_hours as approval_lag_hours, order_delivered_customer_date::date - placed_on as total_delivery_days,
-       if(lag_hours > 48, 'Slow', 'Fast') || ' Approval' as approval_efficiency
+       case when lag_hours > 48 then 'Slow Approval' else 'Fast Approval' end as approval_efficiency
 from (select *, order_purchase_timestamp::date as placed_on,
              datediff('hour', order_purchase_timestamp, order_approved_at) as lag_hours from stg_orders) timed
 where order_status = 'delivered'
@@ -222,7 +223,7 @@ RELATIONS["open_lines"] = """
 select seller_id, order_purchase_timestamp::date as opened, order_delivered_customer_date::date as closed,
        count(*) as lines, sum(price + freight_value) as worth
 from stg_order_items join stg_orders using (order_id)
-where order_status not in ('canceled', 'unavailable', 'created', 'approved')
+where order_status in ('shipped', 'delivered', 'invoiced', 'processing')
 group by all
 """
 
@@ -257,11 +258,11 @@ where order_status = 'delivered'
 RELATIONS["rpt_customer_rfm"] = """
 select person as customer_id, customer_city, customer_state, recency_days, frequency, round(money, 2) as monetary,
        r as r_score, f as f_score, m as m_score, round((r + f + m) / 3.0::double, 2) as rfm_avg,
-       case when least(r, f, m) >= 4 then 'Champions'
-            when least(r, f) >= 3 then 'Loyal Customers'
-            when f <= 2 and r >= 4 then 'New Customers'
-            when f >= 3 and r <= 2 then 'At Risk'
-            when greatest(r, f) <= 2 then 'Lost'
+       case when r >= 4 and f >= 4 and m >= 4 then 'Champions'
+            when r >= 3 and f >= 3 then 'Loyal Customers'
+            when r >= 4 and f <= 2 then 'New Customers'
+            when r <= 2 and f >= 3 then 'At Risk'
+            when r <= 2 and f <= 2 then 'Lost'
             else 'Other' end as rfm_segment
 from (select *, max(last_day) over () - last_day as recency_days,
              ntile(5) over (order by last_day, person) as r,
@@ -281,7 +282,7 @@ join (select seller_id, count(distinct order_id) as total_orders, count(*) as to
              round(sum(total_line_value), 2) as total_revenue, round(avg(item_price), 2) as avg_item_price
       from fact_order_items group by 1) v on v.seller_id = s.seller_id
 left join (select seller_id, round(avg(total_delivery_days), 1) as avg_delivery_days,
-                  count(*) filter (approval_efficiency like 'Slow%') as slow_approvals
+                  count(*) filter (approval_efficiency = 'Slow Approval') as slow_approvals
            from fact_order_lifecycle join fact_order_items using (order_id) group by 1) d on d.seller_id = s.seller_id
 left join (select seller_id, round(avg(review_score), 2) as avg_review_score, count(review_id) as total_reviews
            from fact_reviews join fact_order_items using (order_id) group by 1) r on r.seller_id = s.seller_id
@@ -301,12 +302,14 @@ group by product_category_name
 RELATIONS["rpt_shipping_efficiency"] = """
 select order_id, order_status, date_key as order_date, is_late, total_delivery_days, approval_lag_hours,
        approval_efficiency, distance_km, round(distance_km / nullif(total_delivery_days, 0), 2) as km_per_day,
-       case when total_delivery_days > 21 or total_delivery_days is null then '22+ days'
-            when total_delivery_days > 14 then '15-21 days'
-            when total_delivery_days > 7 then '8-14 days' else '0-7 days' end as delivery_bucket,
-       case when distance_km > 1000 then 'Very Long Distance (>1000km)'
-            when distance_km > 500 then 'Long Distance (500-1000km)'
-            when distance_km > 100 then 'Regional (100-500km)' else 'Local (<100km)' end as distance_bucket
+       case when total_delivery_days <= 7 then '0-7 days'
+            when total_delivery_days <= 14 then '8-14 days'
+            when total_delivery_days <= 21 then '15-21 days'
+            else '22+ days' end as delivery_bucket,
+       case when distance_km <= 100 then 'Local (<100km)'
+            when distance_km <= 500 then 'Regional (100-500km)'
+            when distance_km <= 1000 then 'Long Distance (500-1000km)'
+            else 'Very Long Distance (>1000km)' end as distance_bucket
 from fact_shipping_network join fact_order_lifecycle using (order_id) join fact_orders using (order_id)
 """
 
@@ -346,7 +349,8 @@ select person as customer_id, customer_city, customer_state, first_day as first_
        tenure as tenure_months, orders_placed as total_orders, spend as total_spend, line_mean as avg_order_value,
        round(spend / nullif(tenure, 0), 2) as monthly_spend_rate, score_mean as avg_review_given,
        case when spend >= 500 and orders_placed >= 3 then 'High Value'
-            when spend < 200 and orders_placed < 2 then 'Low Value' else 'Medium Value' end as ltv_tier,
+            when spend >= 200 or orders_placed >= 2 then 'Medium Value'
+            else 'Low Value' end as ltv_tier,
        ntile(10) over (order by spend, person) as ltv_decile
 from (select person, min(date_key) as first_day, max(date_key) as last_day,
              datediff('month', min(date_key), max(date_key)) as tenure,

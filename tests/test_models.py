@@ -158,3 +158,38 @@ def test_backlog_closes_what_it_opens(spark):
     opened, closed = F.col("order_purchase_timestamp").cast("date"), F.col("order_delivered_customer_date").cast("date")
     length = F.greatest(F.datediff(F.least(closed, F.lit(last)), opened) + 1, F.lit(0))
     assert total == lines.agg(F.sum(length)).first()[0]
+
+
+def test_money_and_tiles_do_not_depend_on_partitioning(spark, tables):
+    """Two-decimal prices: equal spenders keep their tiles however the lines are spread."""
+    people = range(60)
+    orders = [(f"o{p}", f"c{p}", "delivered", "2017-01-01 00:00:00", None, None, "2017-01-05 00:00:00", None) for p in people]
+    lines = [(f"o{p}", n, "p", "s", price, 0.1) for p in people for n, price in enumerate((0.1, 0.2, 0.3, 0.7, 1.1, 2.3), 1)]
+    customers = [(f"c{p}", f"u{p:02d}", 1, "city", "XX") for p in people]
+    results = []
+    for parts in (1, 4, 13):
+        lake = tables(
+            orders=("order_id string, customer_id string, order_status string, order_purchase_timestamp string, order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string, order_estimated_delivery_date string", orders),
+            order_items=("order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double", lines),
+            customers=("customer_id string, customer_unique_id string, customer_zip_code_prefix int, customer_city string, customer_state string", customers),
+        )
+        items = lake.source("order_items").repartition(parts, "price")
+        lake._frames["source order_items"] = items
+        results.append(rows(lake.model("rpt_customer_rfm").select("customer_id", "r_score", "f_score", "m_score", "monetary")))
+    assert results[0] == results[1] == results[2]
+    assert [sum(r[3] == tile for r in results[0]) for tile in range(1, 6)] == [12] * 5
+    assert [r[3] for r in results[0]] == sorted(r[3] for r in results[0])  # equal money: by customer
+
+
+def test_check_rules_agree_on_unknown_values():
+    """The labels that the check SQL gives to NULLs are those of the models."""
+    import duckdb
+
+    from oracle.relations import RELATIONS
+
+    days = RELATIONS["rpt_shipping_efficiency"].split("       case when total_delivery_days")[1].split(" as distance_bucket")[0]
+    found = duckdb.sql(f"select case when total_delivery_days{days} as distance_bucket from (select null::int as total_delivery_days, null::double as distance_km)").fetchall()
+    assert found == [("22+ days", "Very Long Distance (>1000km)")]
+    tier = RELATIONS["rpt_customer_ltv"].split("       case when spend")[1].split(" as ltv_tier")[0]
+    assert duckdb.sql(f"select case when spend{tier} from (select null::double as spend, 1 as orders_placed)").fetchall() == [("Low Value",)]
+    assert "order_status in ('shipped', 'delivered', 'invoiced', 'processing')" in RELATIONS["open_lines"]

@@ -9,7 +9,8 @@ import duckdb
 import pytest
 
 from conftest import SF_DIR
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle.catalog import QUERIES, SQL
 
 KINDS = {
     "bigint": "BIGINT",
@@ -44,10 +45,10 @@ def _canonical(records, names):
     return sorted((tuple(_plain(r[i]) for i in order) for r in records), key=lambda r: tuple((v is None, str(type(v)), v or 0) for v in r))
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    cursor = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(result.columns) == sorted(names)
     kinds = {d[0]: str(d[1]) for d in cursor.description}
