@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemart.llm import decontaminate, html, language, licenses, near_dedup, neighbours, pieces, pii, toxicity, urls
+from lakemart.llm import decontaminate, html, language, licenses, near_dedup, neighbours, pieces, pii, sql, toxicity, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +75,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dedup": op9_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_pii": sql.PII, "op6_licenses": sql.LICENSES}
