@@ -32,6 +32,10 @@ DEGREE = 16
 BLOCK_VECTORS = 512
 BLOCK_QUERIES = 256
 NEIGHBOURS = 20
+# The nearest lists of a query are searched first; from the others only what beats their k-th best leaves a task.
+FIRST_LISTS = 4
+# Up to so many vectors one list holds all, and the search is exact.
+ONE_LIST = 2000
 
 
 @dataclass
@@ -139,14 +143,14 @@ def build_index(vectors: DataFrame, sample: int = SAMPLE_VECTORS, lists: int | N
     points = np.array(distinct["vector"].to_list()).reshape(-1, top["dimension"])
     if not len(points):
         points = np.array([vectors.where(F.size("vector") == top["dimension"]).orderBy("id").first()["vector"]])
-    lists = lists or min(MAX_LISTS, max(8, round(math.sqrt(top["n"]) / 2)))
+    lists = lists or (1 if top["n"] <= ONE_LIST else min(MAX_LISTS, round(math.sqrt(top["n"]) / 2)))
     index = ListIndex(np.zeros((1, 1)), np.zeros((1, 1), int), top["bound"], top["dimension"])
     index.centroids = balanced_centroids(index.lengthened(points), min(lists, len(points)))
     index.graph = _graph(index.centroids)
     return index
 
 
-def _dealt(vectors: DataFrame, choose, ddl: str) -> DataFrame:
+def _dealt(vectors: DataFrame, choose) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
@@ -156,19 +160,20 @@ def _dealt(vectors: DataFrame, choose, ddl: str) -> DataFrame:
                 sizes = np.array([len(x) for x in lists])
                 taken = pa.array(np.repeat(np.arange(part.num_rows), sizes))
                 flat = pa.array(np.concatenate(lists).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column("id").take(taken), part.column("vector").take(taken), flat], ["id", "vector", "list"])
+                place = pa.array(np.concatenate([np.arange(n) for n in sizes]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([part.column("id").take(taken), part.column("vector").take(taken), flat, place], ["id", "vector", "list", "place"])
 
-    return vectors.select("id", "vector").mapInArrow(run, ddl)
+    return vectors.select("id", "vector").mapInArrow(run, "id long, vector array<double>, list int, place int")
 
 
 def _scored(k: int):
     def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        """Each query's k best of one block of a list."""
+        """Each query's k best of one block of a list, as far as they reach its bound."""
         if not len(queries) or not len(vectors):
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         vectors = vectors.sort_values("id", kind="stable")
         left, right = np.array(queries["vector"].to_list()), np.array(vectors["vector"].to_list())
-        ids, own = vectors["id"].to_numpy(), queries["id"].to_numpy()
+        ids, own, bound = vectors["id"].to_numpy(), queries["id"].to_numpy(), queries["bound"].to_numpy()
         score = left @ right.T
         score[own[:, None] == ids[None, :]] = -np.inf
         # Products of matrices may round equal sums differently; what is near the edge is summed again one by one.
@@ -177,7 +182,7 @@ def _scored(k: int):
         for row in range(len(own)):
             line = score[row]
             edge = np.partition(line, len(line) - k)[len(line) - k] - margin[row] if len(line) > k else -np.inf
-            place = np.flatnonzero((line >= edge) & (line > -np.inf))
+            place = np.flatnonzero((line >= max(edge, bound[row] - margin[row])) & (line > -np.inf))
             exact = (right[place] * left[row]).sum(axis=1)
             order = np.argsort(-exact, kind="stable")[:k]
             found.append((np.full(len(order), own[row]), ids[place[order]], exact[order]))
@@ -194,22 +199,32 @@ def search(vectors: DataFrame, queries: DataFrame, index: ListIndex, k: int = NE
     Rows that repeat an id count once in the result. An empty table gives an empty result.
     """
     fits = F.size("vector") == index.dimension
-    posted = materialize(_dealt(vectors.where(fits), index.posted, "id long, vector array<double>, list int"), "postings")
-    asked = materialize(
-        _dealt(queries.where(fits), lambda matrix: [np.array(index.selected(q)) for q in matrix], "id long, vector array<double>, list int"), "asked"
-    )
+    posted = materialize(_dealt(vectors.where(fits), index.posted), "postings")
+    asked = materialize(_dealt(queries.where(fits), lambda matrix: [np.array(index.selected(q)) for q in matrix]), "asked")
+    first = materialize(_searched(posted, asked.where(F.col("place") < FIRST_LISTS).withColumn("bound", F.lit(float("-inf"))), k), "first_finds")
+    bounds = materialize(_best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound")), "bounds")
+    others = asked.where(F.col("place") >= FIRST_LISTS).join(bounds, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+    return _best(first.union(_searched(posted, others, k)), k)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the k best finds of each query, a vector once."""
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _searched(posted: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``query_id, vec_id, score`` of the finds in the lists that ``asked`` names for each query."""
     blocks = posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("v")).join(
         asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("q")), "list"
     )  # at most one row for each centroid
     blocks = F.broadcast(materialize(blocks, "blocks"))
     place = F.xxhash64("id", F.lit(3))
     right = posted.join(blocks, "list").select("id", "vector", "list", F.pmod(place, F.col("v")).cast("int").alias("vb"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"))
-    left = asked.join(blocks, "list").select("id", "vector", "list", F.explode(F.sequence(F.lit(0), F.col("v") - 1)).alias("vb"), F.pmod(place, F.col("q")).cast("int").alias("qb"))
+    left = asked.join(blocks, "list").select("id", "vector", "bound", "list", F.explode(F.sequence(F.lit(0), F.col("v") - 1)).alias("vb"), F.pmod(place, F.col("q")).cast("int").alias("qb"))
     keys = ["list", "vb", "qb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_scored(k), "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_scored(k), "query_id long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = NEIGHBOURS) -> DataFrame:
