@@ -25,7 +25,7 @@ from lakemart.session import apply_defaults, materialize
 SAMPLE_VECTORS = 20_000
 MAX_LISTS = 2048
 COPIES = 4
-# Measured on 10,000 and 51,000 isotropic vectors: 0.97 of the true neighbours are found.
+# Measured on 10,000 isotropic vectors: 0.96 of the true neighbours are found.
 BOUNDARY = 1.01
 RATIO = 1.14
 DEGREE = 16
