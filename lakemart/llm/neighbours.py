@@ -3,7 +3,8 @@
 One more component, the root of the largest squared norm less the own one, makes the largest inner product the
 smallest distance. Balanced k-means on a bounded sample gives the centroids. Every vector is posted to its nearest
 centroid and, near a boundary, to a few further ones that are hardly more distant. A query walks a neighbour graph of the centroids held in memory and selects all lists whose distance is within
-a ratio of the nearest's; there is no cap on them. Lists and the queries that selected them are dealt out in blocks of
+a ratio of the nearest's; there is no cap on them. The ratio is set for each index: the true neighbours of a bounded sample of
+queries are found by brute force among all vectors, and it is raised until the selected lists hold enough of them. Lists and the queries that selected them are dealt out in blocks of
 bounded size, so a list of any length, or one that all queries select, is spread over tasks.
 """
 
@@ -25,9 +26,10 @@ from lakemart.session import apply_defaults, materialize
 SAMPLE_VECTORS = 20_000
 MAX_LISTS = 2048
 COPIES = 4
-# Measured on 10,000 isotropic vectors: 0.96 of the true neighbours are found.
 BOUNDARY = 1.01
-RATIO = 1.14
+# The ratio is the least at which so many queries, on average, have this share of their true neighbours in their lists.
+SAMPLE_QUERIES = 200
+RECALL = 0.96
 DEGREE = 16
 BLOCK_VECTORS = 512
 BLOCK_QUERIES = 256
@@ -47,7 +49,9 @@ class ListIndex:
     bound: float
     dimension: int
     boundary: float = BOUNDARY
-    ratio: float = RATIO
+    ratio: float = math.inf
+    # A nearest distance below this one counts as this one: a query that lies on a centroid selects others too.
+    base: float = 0.0
 
     def lengthened(self, vectors: np.ndarray) -> np.ndarray:
         return np.c_[vectors, np.sqrt(np.maximum(self.bound - (vectors**2).sum(axis=1), 0.0))]
@@ -62,30 +66,44 @@ class ListIndex:
         kept = near <= self.boundary * near[:, :1]
         return [order[keep] for order, keep in zip(nearest, kept, strict=True)]
 
-    def selected(self, query: np.ndarray) -> list[int]:
-        """The lists within the ratio of the nearest, found on the graph, nearest first."""
+    def away(self, query: np.ndarray, nodes: np.ndarray | slice) -> np.ndarray:
+        """Distances of a query, scaled to the largest norm, from centroids."""
         point = np.r_[query * (math.sqrt(self.bound) / max(np.sqrt((query**2).sum()), 1e-300)), 0.0]
+        return np.sqrt(((self.centroids[nodes] - point) ** 2).sum(axis=1))
+
+    def selected(self, query: np.ndarray, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The lists within the ratio of the nearest, found on the graph, nearest first.
+
+        With ``sizes``, further ones follow until they hold ``least`` vectors or no list is left.
+        """
 
         def away(nodes: np.ndarray) -> np.ndarray:
-            return np.sqrt(((self.centroids[nodes] - point) ** 2).sum(axis=1))
+            return self.away(query, nodes)
 
         seen = np.zeros(len(self.centroids), bool)
         seen[0] = True
         queue = [(float(away(np.array([0]))[0]), 0)]
         found: list[tuple[float, int]] = []
-        best = math.inf
+        best, held = math.inf, 0
         while queue:
             distance, node = heapq.heappop(queue)
-            if len(found) >= DEGREE and distance > self.ratio * best:
+            if len(found) >= DEGREE and distance > self.ratio * max(best, self.base) and (sizes is None or held >= least):
                 break
             found.append((distance, node))
+            held += 0 if sizes is None else int(sizes[node])
             best = min(best, distance)
             near = self.graph[node]
             near = near[~seen[near]]
             seen[near] = True
             for d, n in zip(away(near).tolist(), near.tolist(), strict=True):
                 heapq.heappush(queue, (d, n))
-        return [node for distance, node in found if distance <= self.ratio * best]
+        lists, held = [], 0
+        for distance, node in sorted(found):
+            if distance > self.ratio * max(best, self.base) and (sizes is None or held >= least):
+                break
+            lists.append(node)
+            held += 0 if sizes is None else int(sizes[node])
+        return lists
 
 
 def _distances(points: np.ndarray) -> np.ndarray:
@@ -126,10 +144,10 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     )
 
 
-def build_index(vectors: DataFrame, sample: int = SAMPLE_VECTORS, lists: int | None = None) -> ListIndex | None:
+def build_index(vectors: DataFrame, sample: int = SAMPLE_VECTORS, lists: int | None = None, queries: DataFrame | None = None, k: int = NEIGHBOURS) -> ListIndex | None:
     """An index from ``id, vector`` rows: norms of all of them, centroids from about ``sample`` chosen by a hash of the id.
 
-    Vectors of another length than the most frequent one (the shorter of equally frequent ones) don't take part.
+    Its ratio is set for the ``k`` neighbours of ``queries``, by default of the vectors themselves. Vectors of another length than the most frequent one (the shorter of equally frequent ones) don't take part.
     """
     sizes = vectors.groupBy(F.size("vector").alias("dimension")).agg(
         F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("bound")
@@ -147,9 +165,80 @@ def build_index(vectors: DataFrame, sample: int = SAMPLE_VECTORS, lists: int | N
     index = ListIndex(np.zeros((1, 1)), np.zeros((1, 1), int), top["bound"], top["dimension"])
     index.centroids = balanced_centroids(index.lengthened(points), min(lists, len(points)))
     index.graph = _graph(index.centroids)
+    _calibrate(index, vectors.where(F.size("vector") == top["dimension"]), vectors if queries is None else queries, points, k)
     return index
 
 
+def _calibrate(index: ListIndex, vectors: DataFrame, queries: DataFrame, points: np.ndarray, k: int) -> None:
+    """Set ``base`` and ``ratio`` so that sampled queries have ``RECALL`` of their true neighbours in their lists."""
+    asked = queries.where(F.size("vector") == index.dimension).select("id", "vector")
+    share = min(1.0, 2 * SAMPLE_QUERIES / max(1, asked.count()))
+    place = F.xxhash64("id", F.lit(7))
+    chosen = asked.where(F.pmod(place, F.lit(1_000_000)) <= int(share * 1_000_000)).orderBy(place, "id", "vector").limit(SAMPLE_QUERIES).toPandas()
+    if not len(chosen):  # as few queries as this may all miss the share
+        chosen = asked.orderBy(place, "id", "vector").limit(SAMPLE_QUERIES).toPandas()
+    if not len(chosen):
+        return
+    left = np.array(chosen["vector"].to_list())
+    true = _true_neighbours(index, vectors, chosen["id"].to_numpy(), left, points, k)
+    distances = [index.away(query, slice(None)) for query in left]
+    nearest = np.array([d.min() for d in distances])
+    index.base = max(float(np.median(nearest)), 1e-6 * math.sqrt(index.bound))
+    # The ratio at which a list that holds the neighbour is selected, for each query and true neighbour.
+    needed = sorted((d[lists].min() / max(n, index.base), 1 / len(found)) for d, n, found in zip(distances, nearest, true, strict=True) for lists in found)
+    if not needed:
+        return
+    held = np.cumsum([weight for _, weight in needed])
+    index.ratio = max(1.0, float(needed[min(int(np.searchsorted(held, RECALL * held[-1])), len(needed) - 1)][0]) * (1 + 1e-9))
+    while index.ratio < needed[-1][0]:  # the walk may miss lists
+        found = [np.isin(np.concatenate(lists), index.selected(query)) if lists else None for query, lists in zip(left, true, strict=True)]
+        reached = [np.mean([part.any() for part in np.split(hit, np.cumsum([len(x) for x in lists])[:-1])]) for hit, lists in zip(found, true, strict=True) if lists]
+        if np.mean(reached) >= RECALL - 1e-9:
+            break
+        index.ratio *= 1.01
+
+
+def _true_neighbours(index: ListIndex, vectors: DataFrame, own: np.ndarray, left: np.ndarray, points: np.ndarray, k: int) -> list[list[np.ndarray]]:
+    """For each query the lists of each of its ``k`` true neighbours, from all vectors.
+
+    A task returns only what reaches the score that ``k`` sampled vectors beside the query's own reach.
+    """
+    least = np.full(len(left), -np.inf)
+    if len(points) > k:
+        for row, query in enumerate(left):
+            least[row] = np.partition(points @ query, len(points) - k - 1)[len(points) - k - 1]
+        least -= 1e-9 * np.abs(least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[dict[int, tuple[float, np.ndarray]]] = [{} for _ in own]
+        for batch in batches:
+            ids, right = batch.column("id").to_numpy(), np.array(batch.column("vector").to_pylist()).reshape(batch.num_rows, -1)
+            score = left @ right.T
+            score[own[:, None] == ids[None, :]] = -np.inf
+            for row, line in enumerate(score):
+                mine = best[row]
+                for at in np.flatnonzero((line >= least[row]) & (line > -np.inf)).tolist():
+                    if ids[at] not in mine or mine[ids[at]][0] < line[at]:
+                        mine[int(ids[at])] = (float(line[at]), right[at])
+                if len(mine) > k:
+                    best[row] = dict(sorted(mine.items(), key=lambda x: (-x[1][0], x[0]))[:k])
+        for row, mine in enumerate(best):
+            if mine:
+                lists = index.posted(np.array([vector for _, vector in mine.values()]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(mine), row, np.int32)), pa.array(list(mine), pa.int64()), pa.array([s for s, _ in mine.values()], pa.float64()), pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))],
+                    ["query", "id", "score", "lists"],
+                )
+
+    found = vectors.select("id", "vector").mapInArrow(run, "query int, id long, score double, lists array<int>")
+    found = found.groupBy("query", "id").agg(F.max(F.struct("score", "lists")).alias("top")).select("query", "id", "top.*")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    true: list[list[np.ndarray]] = [[] for _ in own]
+    for r in found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "lists").collect():
+        true[r["query"]].append(np.array(r["lists"]))
+    return true
+
+
 def _dealt(vectors: DataFrame, choose) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +289,10 @@ def search(vectors: DataFrame, queries: DataFrame, index: ListIndex, k: int = NE
     """
     fits = F.size("vector") == index.dimension
     posted = materialize(_dealt(vectors.where(fits), index.posted), "postings")
-    asked = materialize(_dealt(queries.where(fits), lambda matrix: [np.array(index.selected(q)) for q in matrix]), "asked")
+    sizes = np.zeros(len(index.centroids), int)
+    for r in posted.where(F.col("place") == 0).groupBy("id").agg(F.min("list").alias("list")).groupBy("list").count().collect():  # one row for each list
+        sizes[r["list"]] = r["count"]
+    asked = materialize(_dealt(queries.where(fits), lambda matrix: [np.array(index.selected(q, sizes, k + 1)) for q in matrix]), "asked")
     first = materialize(_searched(posted, asked.where(F.col("place") < FIRST_LISTS).withColumn("bound", F.lit(float("-inf"))), k), "first_finds")
     bounds = materialize(_best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound")), "bounds")
     others = asked.where(F.col("place") >= FIRST_LISTS).join(bounds, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
@@ -231,7 +323,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     """The ``k`` nearest others of each row whose id is divisible by ``every``, among all rows."""
     apply_defaults(vectors.sparkSession)
     rows = usable(vectors, id_col, vector_col)
-    index = build_index(rows)
+    queries = rows.where(F.col("id") % every == 0)
+    index = build_index(rows, queries=queries, k=k)
     if index is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    return search(rows, rows.where(F.col("id") % every == 0), index, k)
+    return search(rows, queries, index, k)

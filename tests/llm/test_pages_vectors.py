@@ -4,6 +4,8 @@ import re
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,33 @@ def test_recall_scores_and_ties(spark):
     assert neighbours.nearest(frame.limit(0)).count() == 0
 
 
+def made_vectors(spark, folder, count, sigma, seed=1):
+    """Random directions whose norms spread by ``sigma``, as a table and a matrix."""
+    rng = np.random.default_rng(seed)
+    matrix = rng.standard_normal((count, 64))
+    matrix *= np.exp(sigma * rng.standard_normal(count))[:, None] / np.sqrt((matrix**2).sum(axis=1))[:, None]
+    pq.write_table(pa.table({"vec_id": np.arange(count), "embedding": list(matrix)}), folder / "vectors.parquet")
+    return spark.read.parquet(str(folder / "vectors.parquet")).repartition(8), matrix
+
+
+def hit_shares(lines, matrix, every=20, k=20):
+    """The share of its true neighbours that each query found."""
+    found = {}
+    for r in lines:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = matrix[::every] @ matrix.T
+    scores[np.arange(len(scores)), np.arange(0, len(matrix), every)] = -np.inf
+    true = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    return np.array([len(found.get(i * every, set()) & set(t.tolist())) / k for i, t in enumerate(true)])
+
+
+@pytest.mark.parametrize("sigma", [0.0, 0.5])
+def test_recall_holds_for_unequal_norms(spark, tmp_path, sigma):
+    frame, matrix = made_vectors(spark, tmp_path, 4000, sigma)
+    shares = hit_shares(neighbours.nearest(frame).collect(), matrix)
+    assert shares.mean() >= 0.93 and shares.min() >= 0.3
+
+
 # --- all ------------------------------------------------------------------------------------------------------------
 
 
