@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from lakemart.session import apply_defaults, materialize
 
 SAMPLE_VECTORS = 20_000
+MIN_LISTS = 8
 MAX_LISTS = 2048
 COPIES = 4
 BOUNDARY = 1.01
@@ -36,8 +37,6 @@ BLOCK_QUERIES = 256
 NEIGHBOURS = 20
 # The nearest lists of a query are searched first; from the others only what beats their k-th best leaves a task.
 FIRST_LISTS = 4
-# Up to so many vectors one list holds all, and the search is exact.
-ONE_LIST = 2000
 
 
 @dataclass
@@ -161,7 +160,7 @@ def build_index(vectors: DataFrame, sample: int = SAMPLE_VECTORS, lists: int | N
     points = np.array(distinct["vector"].to_list()).reshape(-1, top["dimension"])
     if not len(points):
         points = np.array([vectors.where(F.size("vector") == top["dimension"]).orderBy("id").first()["vector"]])
-    lists = lists or (1 if top["n"] <= ONE_LIST else min(MAX_LISTS, round(math.sqrt(top["n"]) / 2)))
+    lists = lists or min(MAX_LISTS, max(MIN_LISTS, round(math.sqrt(top["n"]) / 2)))
     index = ListIndex(np.zeros((1, 1)), np.zeros((1, 1), int), top["bound"], top["dimension"])
     index.centroids = balanced_centroids(index.lengthened(points), min(lists, len(points)))
     index.graph = _graph(index.centroids)

@@ -172,6 +172,16 @@ def test_recall_holds_for_unequal_norms(spark, tmp_path, sigma):
     assert shares.mean() >= 0.93 and shares.min() >= 0.3
 
 
+def test_small_tables_use_the_index(spark, tmp_path):
+    frame, matrix = made_vectors(spark, tmp_path, 1500, 0.3)
+    vectors = neighbours.usable(frame)
+    assert len(neighbours.build_index(vectors).centroids) == 19  # what nearest() builds
+    queries = vectors.where("id % 20 = 0")
+    index = neighbours.build_index(vectors, lists=150, queries=queries)
+    assert len(index.centroids) == 150
+    assert hit_shares(neighbours.search(vectors, queries, index).collect(), matrix).mean() >= 0.93
+
+
 # --- all ------------------------------------------------------------------------------------------------------------
 
 
