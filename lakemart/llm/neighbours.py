@@ -256,7 +256,7 @@ def _dealt(vectors: DataFrame, choose) -> DataFrame:
 
 def _scored(k: int):
     def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        """Each query's k best of one block of a list, as far as they reach its bound."""
+        """Each query's k best of one block of a list, as far as they reach its bound; an id takes one place."""
         if not len(queries) or not len(vectors):
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         vectors = vectors.sort_values("id", kind="stable")
@@ -266,13 +266,16 @@ def _scored(k: int):
         score[own[:, None] == ids[None, :]] = -np.inf
         # Products of matrices may round equal sums differently; what is near the edge is summed again one by one.
         margin = 1e-12 * np.sqrt((left**2).sum(axis=1) * (right**2).sum(axis=1).max())
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         found = []
         for row in range(len(own)):
             line = score[row]
-            edge = np.partition(line, len(line) - k)[len(line) - k] - margin[row] if len(line) > k else -np.inf
+            once = np.maximum.reduceat(line, starts)
+            edge = np.partition(once, len(once) - k)[len(once) - k] - margin[row] if len(once) > k else -np.inf
             place = np.flatnonzero((line >= max(edge, bound[row] - margin[row])) & (line > -np.inf))
             exact = (right[place] * left[row]).sum(axis=1)
-            order = np.argsort(-exact, kind="stable")[:k]
+            order = np.argsort(-exact, kind="stable")
+            order = order[np.sort(np.unique(ids[place[order]], return_index=True)[1])][:k]
             found.append((np.full(len(order), own[row]), ids[place[order]], exact[order]))
         return pd.DataFrame({name: np.concatenate([f[i] for f in found]) for i, name in enumerate(("query_id", "vec_id", "score"))})
 

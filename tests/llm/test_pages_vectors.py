@@ -182,6 +182,23 @@ def test_small_tables_use_the_index(spark, tmp_path):
     assert hit_shares(neighbours.search(vectors, queries, index).collect(), matrix).mean() >= 0.93
 
 
+def test_repeated_ids_take_one_place(spark, tmp_path):
+    frame, matrix = made_vectors(spark, tmp_path, 600, 0.0)
+    vectors = neighbours.usable(frame)
+    queries = vectors.where("id % 20 = 0")
+    index = neighbours.build_index(vectors, lists=1, queries=queries)  # all lists selected: only repeats can cost results
+    assert hit_shares(neighbours.search(vectors, queries, index).collect(), matrix).min() == 1.0
+    doubled = neighbours.search(vectors.union(vectors), queries, index).collect()
+    assert hit_shares(doubled, matrix).min() == 1.0 and len(doubled) == 30 * 20
+    near = int(np.argsort(-(matrix @ matrix[0]))[1])
+    repeated = vectors.union(vectors.where(F.col("id") == near).crossJoin(spark.range(50).select()))
+    assert repeated.count() == 650
+    found = neighbours.search(repeated, queries, index).collect()
+    assert hit_shares(found, matrix).min() == 1.0 and len(found) == 30 * 20
+    whole = neighbours.nearest(repeated.select(F.col("id").alias("vec_id"), F.col("vector").alias("embedding"))).collect()
+    assert hit_shares(whole, matrix).mean() >= 0.93 and len(whole) == 30 * 20
+
+
 # --- all ------------------------------------------------------------------------------------------------------------
 
 
