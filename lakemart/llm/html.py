@@ -2,7 +2,7 @@
 
 Pages of one host are aligned with a reference page of that host by simple tree matching, which pairs as many nodes as
 possible without changing order or ancestry. Over all pages of the host, aligned text that hardly ever changes is
-template; text that varies is a slot. A page's text is what it has in slots and outside the alignment, within its
+template; text that varies is a slot. Pages with the same content text are copies and count as one page. A page's text is what it has in slots and outside the alignment, within its
 content region and without the parts that its markup names as menus, headers, footers, sidebars, notices, adverts,
 forms or comments. Within a region that the page itself marks as article, text counts as template only on strong
 evidence: the same on every one of many pages.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -262,29 +263,31 @@ def _references(pages: DataFrame) -> DataFrame:
 
 
 def _counted(pages: DataFrame) -> DataFrame:
-    """``host, number, n, same``: pages aligned to each text node of the reference, and those that have the same text."""
+    """``host, number, n, same``: pages aligned to each text node of the reference, and those that have the same text.
+
+    Pages of a host whose content regions have the same text prove nothing about each other and count once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
         for batch in batches:
-            counts: dict[tuple[str, int], list[int]] = {}
+            pages_seen: dict[tuple[str, bytes], list[int]] = {}
             for host, html, reference in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "reference")), strict=True):
                 if not html.strip() or not reference.strip():
                     continue
-                root, _ = parse(html)
-                for mine, other in align(root, _cached(cache, reference)[0]):
-                    if other.text.strip():
-                        count = counts.setdefault((host, other.number), [0, 0])
-                        count[0] += 1
-                        count[1] += _clean(mine.text) == _clean(other.text)
-            keys = list(counts)
+                root, texts = parse(html)
+                key = (host, blake2b(main_text(texts, set()).encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                # A text node of the reference is twice its number, plus one if it is the same here.
+                seen = sorted(2 * other.number + (_clean(mine.text) == _clean(other.text)) for mine, other in align(root, _cached(cache, reference)[0]) if other.text.strip())
+                pages_seen[key] = max(pages_seen.get(key, seen), seen)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([counts[k][0] for k in keys], pa.int64()), pa.array([counts[k][1] for k in keys], pa.int64())],
-                ["host", "number", "n", "same"],
+                [pa.array([k[0] for k in pages_seen], pa.string()), pa.array([k[1] for k in pages_seen], pa.binary()), pa.array(list(pages_seen.values()), pa.list_(pa.int32()))],
+                ["host", "content", "seen"],
             )
 
-    counts = pages.mapInArrow(run, "host string, number int, n long, same long")
-    return counts.groupBy("host", "number").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
+    distinct = pages.mapInArrow(run, "host string, content binary, seen array<int>").groupBy("host", "content").agg(F.max("seen").alias("seen"))
+    nodes = distinct.select("host", F.explode("seen").alias("node")).select("host", F.expr("node div 2").cast("int").alias("number"), (F.col("node") % 2).alias("same"))
+    return nodes.groupBy("host", "number").agg(F.count("*").alias("n"), F.sum("same").alias("same"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -292,7 +295,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Character references are decoded, white space within a block is one space, blocks follow each other with one space
     between. A null or empty page, or one without content, has the empty text; pages without a host in their URL are
-    aligned with each other; repeated rows are judged alike, null ids are passed on, other columns are ignored and an
+    aligned with each other; repeated rows are judged alike and are evidence of template only once, null ids are passed on, other columns are ignored and an
     empty table gives an empty result.
     """
     apply_defaults(pages.sparkSession)

@@ -69,6 +69,31 @@ def test_text_that_never_changes_on_a_host_is_template(spark):
     assert found[100] == "Welcome to our site x"  # one page is no evidence
 
 
+def test_copies_of_a_page_do_not_make_it_template(spark):
+    def page(words, nonce=""):
+        return f"<body><nav>m {nonce}</nav><article><h1>Title {words}</h1><p>{words} body</p></article></body>"
+
+    made, expected = [], {}
+
+    def add(host, html_text, text):
+        expected[len(made)] = text
+        made.append((len(made), f"http://{host}/{len(made)}", html_text))
+
+    for copies in (1, 5, 30, 1000):
+        for _ in range(copies):
+            add(f"h{copies}.example", page("one"), "Title one one body")
+    for i in range(40):
+        add("nonce.example", page("same", i), "Title same same body")  # differs outside of its content only
+    for i in range(50):
+        add("plain.example", "<body><div><p>copied text</p><p>more of it</p></div></body>", "copied text more of it")
+    for i in range(3):
+        add("plain.example", f"<body><div><p>other {i}</p><p>rest {i}</p></div></body>", f"other {i} rest {i}")
+    for i in range(40):
+        add("varied.example", page(f"w{i}").replace("</h1>", "</h1><p>Share this</p>"), f"Title w{i} w{i} body")  # template in an article goes as before
+    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(made, PAGES)).collect()}
+    assert found == expected
+
+
 # --- 4 URLs ---------------------------------------------------------------------------------------------------------
 
 
