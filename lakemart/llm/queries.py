@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, html, language, licenses, near_dedup, neighbours, pieces, pii, sql, toxicity, urls
+from lakemart.llm import decontaminate, hard_negatives, html, language, licenses, near_dedup, neighbours, pieces, pii, simhash, sql
+from lakemart.llm import toxicity, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +64,20 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint class of every document: ``doc_id, fingerprint, component_id``."""
+    found = simhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector: ``anchor_id, positive_id, rank, negative_id`` and the two scores."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_pieces": op2_pieces,
@@ -73,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_neighbours": op10_neighbours,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
+    "op11_simhash": op11_simhash,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-SQL: dict[str, str] = {"op1_pii": sql.PII, "op6_licenses": sql.LICENSES}
+SQL: dict[str, str] = {"op1_pii": sql.PII, "op6_licenses": sql.LICENSES, "op13_hard_negatives": sql.HARD_NEGATIVES}

@@ -93,3 +93,24 @@ from (select doc_id, license, max([containment, -first_word::double]) as best fr
 
 
 LICENSES = _licenses()
+
+HARD_NEGATIVES = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as alike, list_dot_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+positive as (
+  select anchor_id, id, score from scored where alike
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.id as positive_id,
+       (row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id))::integer as rank,
+       n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positive p join scored n on n.anchor_id = p.anchor_id and not n.alike
+  and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+qualify row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) <= 3
+"""
