@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import decontaminate, hard_negatives, html, language, licenses, near_dedup, neighbours, pieces, pii, simhash, sql
-from lakemart.llm import toxicity, urls
+from lakemart.llm import decontaminate, hard_negatives, html, language, licenses, near_dedup, neighbours, pieces, pii, prefix_trie, simhash
+from lakemart.llm import sql, toxicity, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations: ``conv_id, depth, parent_conv_id``, counts, ``ends_sha256``."""
+    return prefix_trie.trie(*prefix_trie.regrafted(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector: ``anchor_id, positive_id, rank, negative_id`` and the two scores."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -90,7 +95,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op11_simhash": op11_simhash,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
-SQL: dict[str, str] = {"op1_pii": sql.PII, "op6_licenses": sql.LICENSES, "op13_hard_negatives": sql.HARD_NEGATIVES}
+SQL: dict[str, str] = {
+    "op1_pii": sql.PII,
+    "op6_licenses": sql.LICENSES,
+    "op12_prefix_trie": sql.PREFIX_TRIE,
+    "op13_hard_negatives": sql.HARD_NEGATIVES,
+}

@@ -114,3 +114,49 @@ from positive p join scored n on n.anchor_id = p.anchor_id and not n.alike
   and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
 qualify row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id) <= 3
 """
+
+# The CRC of the contract, byte by byte with the table of the reflected polynomial.
+PREFIX_TRIE = r"""
+with crc(t) as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))),
+raw as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (
+  select conv_id, md5(length(role) || ':' || role || text) as symbol, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words,
+         row_number() over (partition by conv_id order by turn nulls first, role, md5(length(role) || ':' || role || text)) as place
+  from raw),
+conv as (
+  select conv_id, count(*) as turns, conv_id - conv_id % 20 as head,
+         xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(conv_id::varchar) + 1),
+               lambda i: ascii(substr(conv_id::varchar, i, 1))::bigint)),
+             lambda c, b: xor(c >> 8, any_value(t)[xor(c & 255, b) + 1])), 4294967295) % 4 as h
+  from own, crc group by conv_id),
+graft as (
+  select c.conv_id, c.turns, c.h, c.head, least(c.h, coalesce(f.turns, 0)) as taken
+  from conv c left join conv f on f.conv_id = c.head),
+turn as (
+  select g.conv_id, o.place as depth, symbol, words from graft g join own o on o.conv_id = g.head and o.place <= g.taken
+  union all
+  select g.conv_id, o.place - g.h + g.taken, symbol, words from graft g join own o on o.conv_id = g.conv_id and o.place > g.h),
+path as (
+  select conv_id, depth, words, md5(string_agg(symbol, '') over (partition by conv_id order by depth)) as key from turn
+  union all
+  select conv_id, 0, 0, '' from conv),
+linked as (
+  select *, lag(key) over (partition by conv_id order by depth) as above,
+         depth = max(depth) over (partition by conv_id) as ends
+  from path),
+node as (
+  select key, depth, min(conv_id) as conv_id, any_value(above) as above, any_value(words) as words, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from linked group by key, depth),
+child as (select above as key, count(*) as n_children from node where above is not null group by above),
+below as (
+  select p.key, count(*) filter (c.key is null) as n_leaves, sum((n.n_convs - 1) * n.words) as saved_tokens
+  from node n left join child c using (key) join linked p on p.conv_id = n.conv_id and p.depth <= n.depth
+  group by p.key)
+select n.conv_id, n.depth::bigint as depth, a.conv_id as parent_conv_id, n.n_convs::bigint as n_convs,
+       coalesce(n_children, 0)::bigint as n_children, n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, n.ends_sha256
+from node n join below b on b.key = n.key left join child c on c.key = n.key left join node a on a.key = n.above
+"""
