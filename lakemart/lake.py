@@ -4,31 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lakemart.session import apply_defaults
-from lakemart.sources.files import read_model, read_zone, write_model
+from lakemart.sources.files import read_zone
+from lakemart.sources.releases import Releases
 from lakemart.sources.standin import standin_source
 
 
 class Lake:
-    """Resolves names to DataFrames. Frames are lazy and built once per lake.
+    """Resolves names to DataFrames, each built once per lake.
 
-    A model that was published is read back from gold from then on: later models start from its files, with exact
-    sizes for the join planner, instead of repeating its plan.
+    Most frames are lazy. Building a model that ranks its rows, or the backlog, writes scratch tables at once.
+
+    A model that was staged or published is read back from its gold folder from then on: later models start from its
+    files, with exact sizes for the join planner, instead of repeating its plan. The lake keeps to the release it found
+    when it first read gold; what it stages itself comes on top. Others see staged models when ``release`` names them.
     """
 
     def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], gold: str | None = None):
         self.spark = apply_defaults(spark)
         self.gold = gold
+        self.measured: dict[str, dict[str, int]] = {}
         self._read_source = source
         self._frames: dict[str, DataFrame] = {}
+        self._staged: dict[str, str] = {}
         self._published: set[str] = set()
+        self._pinned: tuple[int, dict[str, str]] | None = None
 
     @classmethod
     def from_silver(cls, spark: SparkSession, silver: str, gold: str | None = None) -> Lake:
         return cls(spark, lambda table: read_zone(spark, silver, table), gold)
 
+    @classmethod
+    def from_days(cls, ledger, gold: str | None = None) -> Lake:
+        """A lake over the whole days that a ledger knows now; days that come in later are not seen."""
+        return cls(ledger.spark, ledger.source(), gold)
+
+    @classmethod
+    def from_gold(cls, spark: SparkSession, gold: str) -> Lake:
+        """A reader of published models: all of them as the newest release has them, however long it reads."""
+
+        def none(table: str) -> DataFrame:
+            raise LookupError(f"{table}: this lake reads published models only")
+
+        lake = cls(spark, none, gold)
+        for name in lake.release_read()[1]:
+            lake.open_published(name)
+        return lake
+
     @classmethod
     def from_standin(cls, spark: SparkSession, sf_dir: str, gold: str | None = None) -> Lake:
         return cls(spark, standin_source(spark, sf_dir), gold)
@@ -63,14 +87,56 @@ class Lake:
             self.model(name).createOrReplaceTempView(name)
         return self.spark.sql(text)
 
-    def publish(self, name: str) -> DataFrame:
-        """Write a model to gold and use the written files from now on."""
+    # --- gold -------------------------------------------------------------------------------------------------------
+
+    @property
+    def releases(self) -> Releases:
         if self.gold is None:
             raise ValueError("this lake has no gold folder")
-        write_model(self.model(name), self.gold, name)
-        return self.open_published(name)
+        return Releases(self.spark, self.gold)
+
+    def release_read(self) -> tuple[int, dict[str, str]]:
+        """Number and folders of the release this lake reads."""
+        if self._pinned is None:
+            self._pinned = self.releases.current()
+        return self._pinned
+
+    def stage(self, name: str) -> DataFrame:
+        """Write a model to a new folder of gold and use the written files from now on; readers do not see it yet.
+
+        The write counts the model's rows and the NULLs of its required columns as they pass: ``measured``.
+        """
+        from lakemart.plans.checks import measures
+
+        seen = Observation()
+        folder = self.releases.stage(self.model(name).observe(seen, *measures(name)), name)
+        self.measured[name] = seen.get
+        self._staged[name] = folder
+        self._published.add(name)
+        self._frames[name] = self.releases.read(folder)
+        return self._frames[name]
+
+    def release(self) -> int:
+        """Make all staged models current at once. Raises ``Conflict`` if gold changed since this lake first read it."""
+        number, models = self.release_read()
+        self._pinned = (self.releases.release(self._staged, after=number), models | self._staged)
+        self._staged = {}
+        return self._pinned[0]
+
+    def publish(self, name: str) -> DataFrame:
+        """Stage a model and make it current by itself, on top of whatever others have published."""
+        self.stage(name)
+        folder = self._staged.pop(name)
+        self._pinned = None
+        self.releases.release({name: folder})
+        return self._frames[name]
 
     def open_published(self, name: str) -> DataFrame:
-        self._frames[name] = read_model(self.spark, self.gold, name)
+        """Read a model from gold from now on, as the release that this lake reads has it."""
+        self._frames[name] = self.releases.read(self.release_read()[1][name])
         self._published.add(name)
         return self._frames[name]
+
+    def forget_unpublished(self) -> None:
+        """Build all models anew that are not in gold, e.g. after their scratch tables were deleted."""
+        self._frames = {k: f for k, f in self._frames.items() if k in self._published or k.startswith("source ")}

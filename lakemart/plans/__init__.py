@@ -52,3 +52,17 @@ ATTRIBUTES = {
     "dim_products": dims.product_attributes,
 }
 SURROGATE_KEYS = {"dim_customers": "customer_sk", "dim_sellers": "seller_sk", "dim_products": "product_sk"}
+
+# Rows that exist exactly if a model has rows, without the ranking or the running sums of the model itself.
+_BEFORE_RANKING = {
+    "rpt_customer_rfm": lambda lake: products.delivered_sales(lake).where("person is not null"),
+    "rpt_customer_ltv": lambda lake: products.delivered_sales(lake).where("person is not null"),
+    "snapshot_daily_seller_backlog": lambda lake: facts.backlog_lines(lake).where("closed is null or closed >= opened"),
+}
+
+
+def presence(lake, model: str):
+    """A frame that is empty exactly if the model is."""
+    if model in ATTRIBUTES:
+        return lake.attributes(model)
+    return _BEFORE_RANKING.get(model, lambda lake: lake.model(model))(lake)

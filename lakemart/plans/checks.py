@@ -78,9 +78,26 @@ def not_empty(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).where("row_count = 0")
 
 
+def measures(model: str) -> list[Column]:
+    """What a publishing write counts of a model: its rows, and the NULLs of each column that must have none."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL.get(model, [])]
+    return [F.count(F.lit(1)).alias("rows"), *nulls]
+
+
 def empty_models(lake, models: list[str]) -> DataFrame:
-    """(model_name, row_count) of each empty model. One row per model is enough to know."""
-    found = [not_empty(lake.model(m).limit(1)).select(F.lit(m).alias("model_name"), "row_count") for m in models]
+    """(model_name, row_count) of each empty model.
+
+    Models written by this lake were counted as they were written. Of others one row is enough to know, and a model that
+    ranks its rows is asked for the rows it would rank.
+    """
+    from lakemart.plans import presence
+
+    written = [(m, lake.measured[m]["rows"]) for m in models if m in lake.measured]
+    found = [lake.spark.createDataFrame([w for w in written if w[1] == 0], "model_name string, row_count long")]
+    for model in models:
+        if model not in lake.measured:
+            one = not_empty(presence(lake, model).limit(1))
+            found.append(one.select(F.lit(model).alias("model_name"), "row_count"))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -89,23 +106,50 @@ def _result(check: str, column: str | None, failures: Column) -> Column:
     return F.struct(F.lit(check).alias("check"), label, failures.cast("bigint").alias("failures"))
 
 
-def _model_checks(table: DataFrame, model: str, must_have_rows: bool) -> list[DataFrame]:
-    """One pass for all NULL and emptiness checks of a table, one grouped count per unique column."""
-    single_pass = [_result("not_null", c, F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(model, [])]
-    if must_have_rows:
-        single_pass.append(_result("not_empty", None, F.count(F.lit(1)) == 0))
-    checks = [table.agg(F.array(*single_pass).alias("results"))] if single_pass else []
+def _uniqueness(table: DataFrame, model: str) -> list[DataFrame]:
+    """One grouped count per unique column."""
+    checks = []
     for column in UNIQUE.get(model, []):
         found = duplicate_values(table, column)
         checks.append(found.agg(F.array(_result("unique", column, F.count(F.lit(1)))).alias("results")))
     return [c.select(F.inline("results")).select(F.lit(model).alias("model"), "*") for c in checks]
 
 
+def _single_pass(table: DataFrame, model: str, must_have_rows: bool) -> list[DataFrame]:
+    """All NULL and emptiness checks of a table that was not measured as it was written, from one pass."""
+    checks = [_result("not_null", c, F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(model, [])]
+    if must_have_rows:
+        checks.append(_result("not_empty", None, F.count(F.lit(1)) == 0))
+    if not checks:
+        return []
+    return [table.agg(F.array(*checks).alias("results")).select(F.inline("results")).select(F.lit(model).alias("model"), "*")]
+
+
+def _measured(lake, models: list[str]) -> DataFrame:
+    """The results that the publishing writes have measured: a few rows, no scan."""
+    found = []
+    for model in models:
+        seen = lake.measured[model]
+        found += [(model, "not_null", column, seen[column]) for column in NOT_NULL.get(model, [])]
+        found.append((model, "not_empty", None, int(seen["rows"] == 0)))
+    return lake.spark.createDataFrame(found, "model string, check string, column string, failures long")
+
+
 def run_checks(lake, models: list[str]) -> DataFrame:
-    """(model, check, column, failures) for every declared constraint of ``models``; failures = 0 is a pass."""
+    """(model, check, column, failures) for every declared constraint of ``models``; failures = 0 is a pass.
+
+    NULLs and emptiness of models this lake has written were measured by the write itself; only uniqueness reads their
+    files. Other models are read in one pass for both.
+    """
     from lakemart.plans import GOLD
 
-    checks = [check for m in models for check in _model_checks(lake.model(m), m, m in GOLD)]
+    written = [m for m in models if m in lake.measured]
+    checks = [_measured(lake, written)]
+    for model in models:
+        table = lake.model(model)
+        if model not in lake.measured:
+            checks += _single_pass(table, model, model in GOLD)
+        checks += _uniqueness(table, model)
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -100,12 +100,8 @@ def fact_shipping_network(lake) -> DataFrame:
     return routes.select("order_id", "cust_lat", "cust_lng", "sell_lat", "sell_lng", distance.alias("distance_km"))
 
 
-def snapshot_daily_seller_backlog(lake) -> DataFrame:
-    """One row per seller and day with open order lines: how many, and what they are worth.
-
-    A line is open from the purchase day to the delivery day inclusive; undelivered lines stay open to the last
-    purchase day in the data.
-    """
+def backlog_lines(lake) -> DataFrame:
+    """Order lines that are open at some time: seller, first day, last day or NULL, worth."""
     orders = lake.model("stg_orders").where(F.col("order_status").isin(*BACKLOG_STATUSES)).select(
         "order_id",
         F.col("order_purchase_timestamp").cast("date").alias("opened"),
@@ -114,7 +110,16 @@ def snapshot_daily_seller_backlog(lake) -> DataFrame:
     lines = lake.model("stg_order_items").select(
         "order_id", "seller_id", (F.col("price") + F.col("freight_value")).alias("line_value")
     )
-    backlog = open_per_day(lines.join(orders, "order_id"), "seller_id", "opened", "closed", "line_value")
+    return lines.join(orders, "order_id")
+
+
+def snapshot_daily_seller_backlog(lake) -> DataFrame:
+    """One row per seller and day with open order lines: how many, and what they are worth.
+
+    A line is open from the purchase day to the delivery day inclusive; undelivered lines stay open to the last
+    purchase day in the data.
+    """
+    backlog = open_per_day(backlog_lines(lake), "seller_id", "opened", "closed", "line_value")
     return backlog.select(
         "seller_id",
         F.col("day").alias("snapshot_date"),

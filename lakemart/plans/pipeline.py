@@ -1,4 +1,4 @@
-"""Full rebuild of gold from silver, followed by the checks."""
+"""Full rebuild of gold from silver, and the checks that decide whether it becomes current."""
 
 from __future__ import annotations
 
@@ -7,14 +7,24 @@ from pyspark.sql import DataFrame
 from lakemart.lake import Lake
 from lakemart.plans import GOLD, MODELS
 from lakemart.plans.checks import gate, run_checks
-from lakemart.session import release_scratch
+from lakemart.session import scratch_scope
+
+
+def stage_gold(lake: Lake) -> None:
+    """Stage every gold model, dependencies first; later models read the earlier ones from their files."""
+    with scratch_scope(lake.spark):
+        try:
+            for model in GOLD:
+                lake.stage(model)
+        finally:
+            lake.forget_unpublished()
 
 
 def build_gold(lake: Lake) -> None:
-    """Publish every gold model, dependencies first; later models read the earlier ones from gold."""
-    for model in GOLD:
-        lake.publish(model)
-    release_scratch(lake.spark)
+    """Rebuild gold without checks: all models become current together, or none if one fails."""
+    lake.release_read()
+    stage_gold(lake)
+    lake.release()
 
 
 def check_gold(lake: Lake) -> DataFrame:
@@ -22,6 +32,8 @@ def check_gold(lake: Lake) -> DataFrame:
 
 
 def rebuild(lake: Lake) -> None:
-    """Build, then check; raises when a check fails."""
-    build_gold(lake)
+    """Stage all models, check them, then make them current; raises when a check fails, and gold stays as it was."""
+    lake.release_read()
+    stage_gold(lake)
     gate(check_gold(lake))
+    lake.release()

@@ -39,6 +39,11 @@ def _sales_per_order(lake) -> DataFrame:
     )
 
 
+def delivered_sales(lake) -> DataFrame:
+    """One row per delivered order with lines, its person and the sums of its lines."""
+    return _delivered_orders(lake).join(_persons(lake), "customer_id").join(_sales_per_order(lake), "order_id")
+
+
 def _reviews_per_order(lake) -> DataFrame:
     return lake.model("fact_reviews").groupBy("order_id").agg(
         F.count(F.lit(1)).alias("review_rows"),
@@ -66,8 +71,7 @@ def obt_sales_analytics(lake) -> DataFrame:
 
 def rpt_customer_rfm(lake) -> DataFrame:
     """Recency, frequency and money quintiles per person with delivered sales, and the segment they imply."""
-    sold = _delivered_orders(lake).join(_persons(lake), "customer_id").join(_sales_per_order(lake), "order_id")
-    scored = sold.groupBy(F.col("person").alias("customer_id")).agg(
+    scored = delivered_sales(lake).groupBy(F.col("person").alias("customer_id")).agg(
         F.countDistinct("order_id").alias("frequency"),
         F.max("date_key").alias("last_order_date"),
         F.sum("line_sum").alias("monetary"),

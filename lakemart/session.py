@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +19,8 @@ RUNTIME_DEFAULTS = {
 }
 
 _local_scratch: str | None = None
-_written: list[str] = []
+# Scratch tables of the innermost open scope; outside of any, those that ``release_scratch`` deletes.
+_written: ContextVar[list[str]] = ContextVar("written", default=[])
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
@@ -45,7 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    _written.get().append(path)
     return path
 
 
@@ -61,12 +65,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables this process wrote. Frames built on them cannot be read afterwards."""
+    """Delete the scratch tables written so far in this scope. Frames built on them cannot be read afterwards."""
     jvm = spark.sparkContext._jvm
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    written, removed = _written.get(), 0
+    while written:
+        path = jvm.org.apache.hadoop.fs.Path(written.pop())
         if path.getFileSystem(hadoop_conf).delete(path, True):
             removed += 1
     return removed
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end, whatever happens; those of others stay."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        release_scratch(spark)
+        _written.reset(token)

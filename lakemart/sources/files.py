@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lakemart.sources.releases import Releases
 from lakemart.sources.schemas import FREE_TEXT_TABLES, SCHEMAS
 
 
@@ -40,8 +41,12 @@ def write_days(df: DataFrame, root: str, table: str, rebalance: bool = True) ->
 
 
 def write_model(df: DataFrame, gold: str, model: str) -> None:
-    df.write.mode("overwrite").parquet(f"{gold}/{model}")
+    """Replace one model of gold; readers see the old version until the new one is whole."""
+    releases = Releases(df.sparkSession, gold)
+    releases.release({model: releases.stage(df, model)})
 
 
 def read_model(spark: SparkSession, gold: str, model: str) -> DataFrame:
-    return spark.read.parquet(f"{gold}/{model}")
+    """A model as the newest release has it."""
+    releases = Releases(spark, gold)
+    return releases.read(releases.current()[1][model])

@@ -12,6 +12,17 @@ from lakemart.sources.files import read_zone, write_days
 from lakemart.sources.schemas import REFERENCE_TABLES
 
 
+# Tables that hang on others: (table, parent, key).
+HOPS = (
+    ("order_items", "orders", "order_id"),
+    ("order_payments", "orders", "order_id"),
+    ("order_reviews", "orders", "order_id"),
+    ("customers", "orders", "customer_id"),
+    ("sellers", "order_items", "seller_id"),
+    ("products", "order_items", "product_id"),
+)
+
+
 def order_day(orders: DataFrame) -> Column:
     """First ten characters of the purchase stamp; works on text and on timestamps. No date gives NULL."""
     return F.try_to_date(F.substring(orders["order_purchase_timestamp"].cast("string"), 1, 10))
@@ -47,15 +58,7 @@ def slice_days(
     back the stored form, on which the dependent slices then build.
     """
     slices = {"orders": keep("orders", orders_between(source("orders"), first, last))}
-    hops = (
-        ("order_items", "orders", "order_id"),
-        ("order_payments", "orders", "order_id"),
-        ("order_reviews", "orders", "order_id"),
-        ("customers", "orders", "customer_id"),
-        ("sellers", "order_items", "seller_id"),
-        ("products", "order_items", "product_id"),
-    )
-    for table, parent, key in hops:
+    for table, parent, key in HOPS:
         slices[table] = keep(table, children(source(table), slices[parent], key))
     for table in REFERENCE_TABLES:
         slices[table] = keep(table, source(table).withColumn("date", F.lit(first).cast("date")))

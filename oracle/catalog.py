@@ -17,11 +17,11 @@ from lakemart.functions import dates, numbers, text
 from lakemart.operators import baskets, intervals, keys, ranking, report
 from lakemart.plans import GOLD, STAGING, boards, checks
 from lakemart.session import scratch_path
-from lakemart.sources import slicing
+from lakemart.sources import quarantine, slicing
 from lakemart.sources.files import read_model, read_raw, read_zone, write_days
-from lakemart.sources.schemas import SCHEMAS, SOURCE_TABLES
+from lakemart.sources.schemas import REFERENCE_TABLES, SCHEMAS, SOURCE_TABLES
 from lakemart.sources.standin import standin_source, star_table
-from lakemart.streaming import zones
+from lakemart.streaming import ledger, zones
 from oracle.relations import RELATIONS, with_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,12 +136,20 @@ on_lake(
               count(*) as customers
        from rpt_customer_ltv group by 1 order by 2 desc, 1 limit 15""",
 )
+
+
+def _matrix_cells(lake: Lake) -> DataFrame:
+    """The cells of the cohort matrix: a column for every offset is no fixed schema to compare."""
+    matrix = boards.cohort_matrix(lake)
+    offsets = [c for c in matrix.columns if c != "cohort"]
+    return matrix.unpivot("cohort", offsets, "month_offset", "retention_pct").where("retention_pct is not null")
+
+
 on_lake(
     "cohort_matrix",
-    boards.cohort_matrix,
-    """select * from (pivot (select strftime(cohort_month, '%Y-%m') as cohort, printf('m%02d', months_since_first) as o,
-                                   retention_pct from rpt_cohort_retention)
-                      on o using max(retention_pct) group by cohort)""",
+    _matrix_cells,
+    """select strftime(cohort_month, '%Y-%m') as cohort, printf('m%02d', months_since_first) as month_offset, retention_pct
+       from rpt_cohort_retention where retention_pct is not null""",
 )
 on_lake(
     "cohort_sizes",
@@ -259,6 +267,7 @@ on_lake(
 # --- sources and zones ---------------------------------------------------------------------------------------------
 
 _DAY_SQL = "order_purchase_timestamp::date"
+_RANGE_COLUMN = "to_date(order_purchase_timestamp)"
 # A range that leaves out days at either end.
 _FROM, _TO = "1997-03-10", "1997-04-20"
 _RANGE_SQL = f"{_DAY_SQL} between date '{_FROM}' and date '{_TO}'"
@@ -286,6 +295,54 @@ def _from_csv(model: str) -> Query:
     return build
 
 
+def _lines(rows: DataFrame) -> DataFrame:
+    """Rows as CSV lines, without a header."""
+    return rows.select(F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in rows.columns]), {"escape": '"', "quote": '"'}).alias("line"))
+
+
+def _faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines delivered with short lines, bad cells and bad stamps: rows kept and set aside, by reason."""
+    source, root = standin_source(spark, sf_dir), scratch_path(spark, "faulty")
+    key = F.regexp_extract("order_id", "[0-9]+", 0).cast("long")
+    orders = _raw(source("orders"), "orders")
+    orders = orders.withColumn("order_purchase_timestamp", F.when(key % 11 == 0, "soon").otherwise(F.col("order_purchase_timestamp")))
+    short = F.col("line").rlike(r"^O(\d+),") & (F.regexp_extract("line", "[0-9]+", 0).cast("long") % 13 == 0)
+    orders = _lines(orders).withColumn("line", F.when(short, F.regexp_replace("line", ",[^,]*,[^,]*$", "")).otherwise(F.col("line")))
+    items = _raw(source("order_items"), "order_items").withColumn("price", F.col("price").cast("string"))
+    items = _lines(items.withColumn("price", F.when(F.col("order_item_id") == 3, "free").otherwise(F.col("price"))))
+    found = []
+    for table, lines in (("orders", orders), ("order_items", items)):
+        lines.write.text(f"{root}/raw/{table}")
+        kept = quarantine.take_csv(spark, table, f"{root}/raw/{table}", f"{root}/aside", "one", header=False)
+        kept = kept.agg(F.lit("kept").alias("reason"), F.count(F.lit(1)).alias("rows"))
+        both = kept.union(quarantine.counts(spark, f"{root}/aside", table).select("reason", "rows"))
+        found.append(both.select(F.lit(table).alias("name"), "reason", "rows"))
+    return reduce(DataFrame.union, found)
+
+
+def _odd_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews delivered as CSV with quotes, commas and line breaks in their text and words for some scores."""
+    root = scratch_path(spark, "odd")
+    raw = _raw(standin_source(spark, sf_dir)("order_reviews"), "order_reviews")
+    message = F.concat(F.lit('said "no", then\nleft '), "order_id")
+    score = F.when(F.col("review_score") == 2, "two").otherwise(F.col("review_score").cast("string"))
+    raw = raw.withColumn("review_comment_message", message).withColumn("review_score", score)
+    raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).write.csv(f"{root}/order_reviews", header=True, escape='"')
+    return read_raw(spark, "order_reviews", f"{root}/order_reviews").select("review_id", "order_id", "review_score", "review_comment_message")
+
+
+def _in_no_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that no day holds when the stamps of some orders are lost."""
+    source = standin_source(spark, sf_dir)
+    stamp = F.when(F.regexp_extract("order_id", "[0-9]+", 0).cast("long") % 9 != 0, F.col("order_purchase_timestamp"))
+
+    def undated(table: str) -> DataFrame:
+        return source(table).withColumn("order_purchase_timestamp", stamp) if table == "orders" else source(table)
+
+    found = quarantine.in_no_day(undated).items()
+    return reduce(DataFrame.union, [rows.groupBy(F.lit(t).alias("name"), "reason").agg(F.count(F.lit(1)).alias("rows")) for t, rows in found])
+
+
 def _sliced(table: str, first: str | None = None, last: str | None = None) -> Query:
     """Slices of a range of days, or of all days that the orders have."""
 
@@ -369,21 +426,86 @@ _BACKFILL_KEYS = {
 }
 
 
-def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nine tables of a range written and read back: rows, smallest and largest key of each table and day."""
-    source, root = standin_source(spark, sf_dir), scratch_path(spark, "backfill")
-    slicing.backfill(source, _FROM, _TO, root)
+def _per_day(read: Callable[[str], DataFrame]) -> DataFrame:
+    """Rows, smallest and largest key of each table and day."""
     parts = []
     for table, column in _BACKFILL_KEYS.items():
         key = F.col(column).cast("string")
-        stored = read_zone(spark, root, table, source(table).schema)
         parts.append(
-            stored.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+            read(table).groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
             .select(F.lit(table).alias("name"), "date", "n", "first_key", "last_key")
         )
     return reduce(DataFrame.union, parts)
 
 
+def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables of a range written and read back."""
+    source, root = standin_source(spark, sf_dir), scratch_path(spark, "backfill")
+    slicing.backfill(source, _FROM, _TO, root)
+    return _per_day(lambda table: read_zone(spark, root, table, source(table).schema))
+
+
+def _only_orders(source: Callable[[str], DataFrame], condition: str) -> Callable[[str], DataFrame]:
+    return lambda table: source(table).where(condition) if table == "orders" else source(table)
+
+
+def _sparse_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days written for a range in which most days have no order."""
+    source, root = _only_orders(standin_source(spark, sf_dir), "order_status = 'canceled'"), scratch_path(spark, "sparse")
+    slicing.backfill(source, _FROM, _TO, root)
+    tables = ("orders", "order_items", "customers")
+    found = [read_zone(spark, root, t, source(t).schema).groupBy(F.lit(t).alias("name"), "date").agg(F.count(F.lit(1)).alias("n")) for t in tables]
+    return reduce(DataFrame.union, found)
+
+
+_BATCH_DAYS = 14
+
+
+class _Lost(Exception):
+    pass
+
+
+def _day_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of all tables in batches; the second run is lost after five of nine tables and a later one goes on.
+
+    What readers see after the loss and at the end.
+    """
+    source = _only_orders(standin_source(spark, sf_dir), f"{_RANGE_COLUMN} between '{_FROM}' and '{_TO}'")
+    root, schemas = scratch_path(spark, "days"), {t: source(t).schema for t in SOURCE_TABLES}
+    ledger.advance(ledger.DayLedger(spark, root, schemas=schemas), source, _BATCH_DAYS)
+
+    def dies(table: str) -> DataFrame:
+        if table == "sellers":
+            raise _Lost
+        return source(table)
+
+    days = ledger.DayLedger(spark, root, schemas=schemas)
+    try:
+        ledger.advance(days, dies, _BATCH_DAYS)
+    except _Lost:
+        seen = _per_day(days.source())
+    days = ledger.DayLedger(spark, root, schemas=schemas)
+    while ledger.advance(days, source, _BATCH_DAYS):
+        pass
+    phases = (("after the loss", seen), ("at the end", _per_day(days.source())))
+    return reduce(DataFrame.union, [rows.select(F.lit(phase).alias("phase"), "*") for phase, rows in phases])
+
+
+def _days_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole days from the raw tables to bronze (one of them taken twice), to silver, and a model of them in gold."""
+    source = _only_orders(standin_source(spark, sf_dir), f"{_RANGE_COLUMN} between '{_FROM}' and '{_TO}'")
+    twice = lambda table: source(table).union(source(table)) if table == "order_items" else source(table)
+    root, schemas = scratch_path(spark, "zones"), {t: source(t).schema for t in SOURCE_TABLES}
+    bronze, silver = (ledger.DayLedger(spark, f"{root}/{zone}", schemas=schemas) for zone in ("bronze", "silver"))
+    ledger.advance(bronze, twice, 1000)
+    ledger.promote(bronze, silver)
+    ledger.retake(bronze, twice, _FROM)
+    ledger.promote(bronze, silver)
+    lake = Lake.from_days(silver, gold=f"{root}/gold")
+    lake.publish("fact_order_items")
+    return Lake.from_gold(spark, lake.gold).model("fact_order_items")
+
+
 def _silver_lake(spark: SparkSession, sf_dir: str, *published: str) -> Lake:
     """All nine tables in silver, each whole, and some models in gold built on them."""
     root = scratch_path(spark, "lake")
@@ -408,6 +530,32 @@ register("src_read_csv", _from_csv("stg_orders"), "select * from stg_orders")
 for _name in STAGING:
     if _name != "stg_orders":
         register(f"src_read_csv_{_name.removeprefix('stg_')}", _from_csv(_name), f"select * from {_name}")
+_ODD = "substr(o.order_id, 2)::bigint"
+register(
+    "src_csv_quarantine",
+    _faulty_orders,
+    f"""select 'orders' as name, case when {_ODD} % 13 = 0 then 'shape' when {_ODD} % 11 = 0 then 'stamp' else 'kept' end as reason, count(*) as rows
+        from src_orders o group by all
+        union all select 'order_items', if(order_item_id = 3, 'cell', 'kept'), count(*) from src_order_items group by all""",
+)
+register(
+    "src_csv_odd_cells",
+    _odd_reviews,
+    """select review_id, order_id, if(review_score = 2, null, review_score)::int as review_score,
+              'said "no", then' || chr(10) || 'left ' || order_id as review_comment_message from src_reviews""",
+)
+_DATED = f"(select o.* from src_orders o where {_ODD} % 9 <> 0)"
+_DATED_ITEMS = f"(select i.* from src_order_items i where order_id in (select order_id from {_DATED} d))"
+_LEFT_OUT = [("order_items", "src_order_items", "order_id", _DATED), ("order_payments", "src_payments", "order_id", _DATED), ("order_reviews", "src_reviews", "order_id", _DATED),
+             ("customers", "src_customers", "customer_id", _DATED), ("sellers", "src_sellers", "seller_id", _DATED_ITEMS), ("products", "src_products", "product_id", _DATED_ITEMS)]
+register(
+    "src_in_no_day",
+    _in_no_day,
+    f"select 'orders' as name, 'stamp' as reason, count(*) as rows from src_orders o where {_ODD} % 9 = 0 union all "
+    + " union all ".join(
+        f"select '{t}', 'parent', count(*) from {r} where {k} not in (select {k} from {p} p) having count(*) > 0" for t, r, k, p in _LEFT_OUT
+    ),
+)
 register("src_day_slice", _sliced("orders"), f"select *, {_DAY_SQL} as date from src_orders")
 register(
     "src_single_day",
@@ -467,6 +615,40 @@ register(
         for t, k in _BACKFILL_KEYS.items()
     ),
 )
+register(
+    "src_sparse_days",
+    _sparse_days,
+    " union all ".join(
+        f"""select '{t}' as name, o.date, count(*) as n from ({_IN_RANGE}) o {j}
+            where o.order_status = 'canceled' group by o.date"""
+        for t, j in (
+            ("orders", ""),
+            ("order_items", "join src_order_items i on i.order_id = o.order_id"),
+            ("customers", "join src_customers c on c.customer_id = o.customer_id"),
+        )
+    ),
+)
+_NUMBERED_DAYS = f"(select date, row_number() over (order by date) - 1 as number from (select distinct date from {_IN_RANGE} o) d)"
+
+
+def _cursor_sql() -> str:
+    """The first batch after the loss, all days at the end; reference tables stand on the newest batch's first day."""
+    parts = []
+    for phase, condition in (("after the loss", f"number < {_BATCH_DAYS}"), ("at the end", "true")):
+        for table, key in _BACKFILL_KEYS.items():
+            rows = f"(select * from ({_RANGE_TABLES[table]}) a where date in (select date from {_NUMBERED_DAYS} b where {condition}))"
+            if table in REFERENCE_TABLES:
+                newest = f"(select max(date) from {_NUMBERED_DAYS} b where {condition} and number % {_BATCH_DAYS} = 0)"
+                rows = f"(select * replace ({newest} as date) from ({_RANGE_TABLES[table]}) a)"
+            parts.append(
+                f"select '{phase}' as phase, '{table}' as name, date, count(*) as n, min({key}::varchar) as first_key, "
+                f"max({key}::varchar) as last_key from {rows} r group by date"
+            )
+    return " union all ".join(parts)
+
+
+register("str_day_cursor", _day_cursor, _cursor_sql())
+register("str_days_to_gold", _days_to_gold, f"select i.* from fact_order_items i join {_IN_RANGE} o on o.order_id = i.order_id")
 register("gold_fact_orders", _gold("fact_orders"), "select * from fact_orders")
 register("gold_rpt_cohort_retention", _gold("rpt_cohort_retention", "fact_orders"), "select * from rpt_cohort_retention")
 register(
@@ -537,6 +719,38 @@ def _gate_sql() -> str:
 
 on_lake("dq_gate", lambda lake: checks.run_checks(lake, _CHECKED), _gate_sql())
 
+
+
+def _gate_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build whose payments lost some keys: what the gate says, and how many rows gold's readers still see."""
+    source, gold = standin_source(spark, sf_dir), scratch_path(spark, "gated")
+    Lake(spark, source, gold).publish("fact_payments")
+    key = F.when(F.col("payment_installments") != 7, F.col("order_id")).alias("order_id")
+
+    def faulty(table: str) -> DataFrame:
+        rows = source(table)
+        return rows.select(key, *[c for c in rows.columns if c != "order_id"]) if table == "order_payments" else rows
+
+    lake = Lake(spark, faulty, gold)
+    lake.stage("fact_payments")
+    said = "open"
+    try:
+        checks.gate(checks.run_checks(lake, ["fact_payments"]))
+        lake.release()
+    except checks.ChecksFailed as failed:
+        said = str(failed)
+    return read_model(spark, gold, "fact_payments").agg(
+        F.lit(said).alias("said"), F.count(F.lit(1)).alias("rows_seen"), F.count("order_id").alias("keys_seen")
+    )
+
+
+register(
+    "dq_gate_closes",
+    _gate_closes,
+    """select if(faults = 0, 'open', 'fact_payments.order_id: not_null (' || faults || ')') as said, n as rows_seen, n as keys_seen
+       from (select count(*) filter (installments = 7) as faults, count(*) as n from fact_payments) counted""",
+)
+
 # --- operators on the star-schema tables ---------------------------------------------------------------------------
 
 

@@ -56,5 +56,10 @@ def test_query_equals_sql(spark, duck, name):
     assert _canonical(result.collect(), result.columns) == _canonical(cursor.fetchall(), names)
 
 
+@pytest.mark.parametrize("name", list(SQL))
+def test_sql_can_be_stored_as_a_view(duck, name):
+    duck.execute(f"create or replace view checked as {SQL[name]}")
+
+
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 12
