@@ -30,7 +30,9 @@ RANK_OFFSET = 10.0
 SPACE = "▁"
 
 _U64 = np.uint64
-_CHUNK_CHARS = 1 << 21
+# Characters whose lattices are held at a time; pieces do not depend on it.
+_CHUNK_CHARS = 1 << 18
+_CHUNK_ROWS = 256
 _SPELLED = 1 << 24
 _NO_CHARACTER = 0x7FFFFF
 _SPELLED_WEIGHT = -14.0
@@ -233,7 +235,7 @@ def _cut(text: str) -> Iterator[str]:
 
 
 def _encoded(texts: list[str], keys: np.ndarray, model: PieceModel) -> Iterator[np.ndarray]:
-    """Piece ids of each text; texts go through together, about two million characters at a time."""
+    """Piece ids of each text; texts go through together, about ``_CHUNK_CHARS`` characters at a time."""
     row, rows = 0, len(texts)
     while row < rows:
         stop, chars = row, 0
@@ -292,13 +294,13 @@ def encode(docs: DataFrame, text_col: str = "text", key: str | Column = "doc_id"
         for batch in batches:
             column = batch.column(text_col)
             keys = mix64(batch.column("__key").to_numpy(zero_copy_only=False).view(_U64) ^ seeded(41, 1)[0])
-            for low in range(0, batch.num_rows, 1024):
-                texts = column.slice(low, 1024).to_pylist()
+            for low in range(0, batch.num_rows, _CHUNK_ROWS):
+                texts = column.slice(low, _CHUNK_ROWS).to_pylist()
                 there = [t is not None for t in texts]
-                ids = list(_encoded([t or "" for t in texts], keys[low : low + 1024], model))
+                ids = list(_encoded([t or "" for t in texts], keys[low : low + _CHUNK_ROWS], model))
                 lossless = [_decoded(i, model) == t.encode() if t is not None else None for i, t in zip(ids, texts, strict=True)]
                 ids = [i if t else i[:0] for i, t in zip(ids, there, strict=True)]
-                part = batch.slice(low, 1024)
+                part = batch.slice(low, _CHUNK_ROWS)
                 columns = [part.column(name) for name in names]
                 columns += [_lists(ids, there), pa.array([len(i) for i in ids], pa.int64()), pa.array(lossless, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "piece_ids", "n_pieces", "lossless"])
