@@ -1,15 +1,20 @@
 """Benchmark items inside documents: SimHash windows, multi-index Hamming blocks, exact weighted-shingle similarity.
 
 Every window of an item's length that can hold one of its shingles is fingerprinted from running sums of its shingles'
-bits. A fingerprint within the radius of an item's agrees with it in at least one of radius + 1 bit blocks, so looking
-up the blocks finds all items within the radius. Each find is verified by the weighted Jaccard similarity of the two
-bags of shingles. Skipping windows without any of the item's shingles loses nothing: their similarity is zero.
+bits. The second, third, ... occurrence of a shingle in a window counts as another element, so that two bags share as
+many elements as their weighted Jaccard similarity says, whatever repeats. The radius of an item follows from its number
+of elements: what a window at the least similarity differs by, and five standard deviations. A fingerprint within the
+radius of an item's agrees with it in at least one of radius + 1 bit blocks, so looking up the blocks finds all items
+within the radius. Each find is verified by the weighted Jaccard similarity of the two bags of shingles. Skipping
+windows without any of the item's shingles loses nothing: their similarity is zero.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +26,15 @@ from lakemart.llm.words import mix64, seeded, shingle_hashes, text_buffer, text_
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 FINGERPRINT_BITS = 128
-# A bag at similarity 0.8 differs in 19.5 of 128 bits on average, standard deviation 4.1.
-RADIUS = 35
+# Standard deviations that the radius lies above the mean distance of a window at the least similarity.
+MARGIN = 5.0
 # Item texts held by one pass over the documents; a larger benchmark takes several passes.
 ITEM_CHARS_PER_PASS = 8_000_000
 
 _U64 = np.uint64
 _SCREEN_BITS = 20
+# Windows fingerprinted at a time: what bounds the memory of a text, however long.
+_WINDOWS = 8192
 
 
 @dataclass
@@ -52,6 +59,62 @@ def _bits(shingles: np.ndarray) -> np.ndarray:
     return np.unpackbits(halves.view(np.uint8), axis=1).astype(np.int8) * 2 - 1
 
 
+@cache
+def radius_for(item: int, window: int, similarity: float, bits: int = FINGERPRINT_BITS) -> int:
+    """The bits in which fingerprints of so many elements each may differ at ``similarity``; -1 if they cannot reach it.
+
+    The chance that one bit differs is that of two sums of random signs which have all but a few of them in common; for
+    many elements it is the angle between the bags.
+    """
+    shared = math.ceil(similarity * (item + window) / (1 + similarity) - 1e-9)
+    if shared > min(item, window):
+        return -1
+    if max(item, window) > 400:
+        chance = math.acos(min(1.0, shared / math.sqrt(item * window))) / math.pi
+    else:
+
+        def sums(count: int) -> np.ndarray:
+            return np.array([math.comb(count, k) / 2**count for k in range(count + 1)])
+
+        common, own, other = sums(shared), sums(item - shared), sums(window - shared)
+        at = 2 * np.arange(shared + 1) - shared
+
+        def positive(rest: np.ndarray) -> np.ndarray:
+            value = 2 * np.arange(len(rest)) - (len(rest) - 1)
+            return ((at[:, None] + value[None, :] > 0) * rest[None, :]).sum(axis=1)
+
+        a, b = positive(own), positive(other)
+        chance = float((common * (a * (1 - b) + b * (1 - a))).sum())
+    return min(bits, math.ceil(bits * chance + MARGIN * math.sqrt(bits * chance * (1 - chance))))
+
+
+def _window_prints(shingles: np.ndarray, span: int) -> np.ndarray:
+    """Fingerprint bits of all windows of ``span`` shingles.
+
+    A step adds the next shingle as its count in the new window and takes the first away as its count in the old one.
+    """
+    n = len(shingles)
+    _, group = np.unique(shingles, return_inverse=True)
+    place = np.arange(n)
+    keys = group * (n + 1) + place
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    coming = rank - np.searchsorted(keys, group * (n + 1) + np.maximum(place - span + 1, 0)) + 1
+    going = np.searchsorted(keys, group * (n + 1) + np.minimum(place + span - 1, n), side="right") - rank
+
+    def running(count: np.ndarray, stop: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            again = mix64(shingles[:stop] + (count[:stop] - 1).astype(_U64) * _U64(0x9E3779B97F4A7C15))
+        element = np.where(count[:stop] > 1, again, shingles[:stop])
+        sums = np.zeros((stop + 1, FINGERPRINT_BITS), np.int32)
+        np.cumsum(_bits(element), axis=0, out=sums[1:])
+        return sums
+
+    return (running(coming, n)[span:] - running(going, n - span)) > 0
+
+
 def _block_values(prints: np.ndarray, radius: int) -> np.ndarray:
     """The radius + 1 blocks of each fingerprint as small numbers."""
     edges = np.linspace(0, prints.shape[1], radius + 2).astype(int)
@@ -76,7 +139,7 @@ def _index(texts: list[str | None], size: int) -> list[_Items]:
             bag, count = np.unique(hashes, return_counts=True)
             bags.append(bag)
             weights.append(count)
-            prints.append(_bits(hashes).sum(axis=0, dtype=np.int32) > 0)
+            prints.append(_window_prints(hashes, len(hashes))[0])
         known = np.concatenate(bags)
         owner = np.repeat(np.arange(len(numbers)), [len(b) for b in bags])
         order = np.argsort(known, kind="stable")
@@ -100,7 +163,7 @@ def _stretches(places: np.ndarray, reach: int) -> Iterator[tuple[int, int]]:
     yield from zip(places[np.r_[0, breaks + 1]], places[np.r_[breaks, len(places) - 1]], strict=True)
 
 
-def _in_text(shingles: np.ndarray, items: _Items, hits: np.ndarray, similarity: float, radius: int) -> Iterator[tuple[int, float, int, int]]:
+def _in_text(shingles: np.ndarray, items: _Items, hits: np.ndarray, similarity: float, radius: int | None) -> Iterator[tuple[int, float, int, int]]:
     """Item, similarity, first word and words of the best window for each item that a text contains.
 
     ``hits`` are the places of shingles that some item has.
@@ -114,24 +177,27 @@ def _in_text(shingles: np.ndarray, items: _Items, hits: np.ndarray, similarity:
     for item in np.unique(owner):
         span = min(int(items.lengths[item]) - items.words + 1, len(shingles))  # shingles in a window
         best = (0.0, 0)
+        own = items.prints[item]
+        reach = radius_for(int(items.weights[item].sum()), span, similarity) if radius is None else radius
+        if reach < 0:
+            continue
         for first, last in _stretches(place[owner == item], span):
-            start, stop = max(0, first - span + 1), min(len(shingles), last + span)
-            sums = np.zeros((stop - start + 1, FINGERPRINT_BITS), np.int32)
-            np.cumsum(_bits(shingles[start:stop]), axis=0, out=sums[1:])
-            prints = (sums[span:] - sums[:-span]) > 0
-            own = items.prints[item]
-            blocks = _block_values(prints, radius) == _block_values(own[None, :], radius)
-            near = np.flatnonzero(blocks.any(axis=1))
-            near = near[(prints[near] != own).sum(axis=1) <= radius]
-            for window in near:
-                found = _similarity(shingles[start + window : start + window + span], items.shingles[item], items.weights[item])
-                if found > best[0]:
-                    best = (found, int(start + window))
+            begin, end = max(0, first - span + 1), min(len(shingles) - span, last) + 1
+            for start in range(begin, end, _WINDOWS):
+                stop = min(start + _WINDOWS, end)
+                prints = _window_prints(shingles[start : stop + span - 1], span)
+                blocks = _block_values(prints, reach) == _block_values(own[None, :], reach)
+                near = np.flatnonzero(blocks.any(axis=1))
+                near = near[(prints[near] != own).sum(axis=1) <= reach]
+                for window in near:
+                    found = _similarity(shingles[start + window : start + window + span], items.shingles[item], items.weights[item])
+                    if found > best[0]:
+                        best = (found, int(start + window))
         if best[0] >= similarity:
             yield int(items.numbers[item]), best[0], best[1], min(int(items.lengths[item]), span + items.words - 1)
 
 
-def _finds(column: pa.Array, index: list[_Items], similarity: float, radius: int) -> Iterator[tuple[int, int, float, int, int]]:
+def _finds(column: pa.Array, index: list[_Items], similarity: float, radius: int | None) -> Iterator[tuple[int, int, float, int, int]]:
     """Row, item, similarity, first word and words of every find in a column of texts."""
     data, offsets = text_buffer(column)
     for low, high in text_slices(offsets):
@@ -167,13 +233,13 @@ def leaks(
     item_id: str = "item_id",
     words: int = SHINGLE_WORDS,
     similarity: float = SIMILARITY,
-    radius: int = RADIUS,
+    radius: int | None = None,
     chars_per_pass: int = ITEM_CHARS_PER_PASS,
 ) -> DataFrame:
     """One row ``id, item_id, similarity, first_word, n_words`` for each document and item that it contains.
 
     The window is the best one of the item's length in words (of the document's, if that is shorter); ties go to the
-    first. Contained means a similarity of at least ``similarity``. Items of fewer than ``words`` words count as one
+    first. Long texts are gone through in pieces of bounded memory, and whole. Contained means a similarity of at least ``similarity``. Items of fewer than ``words`` words count as one
     shingle. Null or empty texts contain nothing and are contained in nothing; null ids are passed on; repeated rows
     give repeated finds; empty tables give an empty result; other columns are ignored. Documents are read once for
     every ``chars_per_pass`` characters of items and never shuffled.
@@ -204,7 +270,7 @@ def without_leaks(
     item_text: str = "text",
     words: int = SHINGLE_WORDS,
     similarity: float = SIMILARITY,
-    radius: int = RADIUS,
+    radius: int | None = None,
     chars_per_pass: int = ITEM_CHARS_PER_PASS,
 ) -> DataFrame:
     """The rows of ``docs`` that contain no item, as :func:`leaks` defines it, with all their columns."""
