@@ -88,7 +88,9 @@ def _distinct_texts(sample: DataFrame) -> DataFrame:
             least = [int(h.min().view(np.int64)) if len(h) else 0 for _, h in text_shingles(batch.column("text"), 5)]
             yield pa.RecordBatch.from_arrays([batch.column("positive"), batch.column("text"), pa.array(least, pa.int64())], ["positive", "text", "least"])
 
-    return sample.mapInArrow(run, "positive boolean, text string, least long").dropDuplicates(["positive", "least"])
+    marked = sample.mapInArrow(run, "positive boolean, text string, least long")
+    # The smallest text of a group, not whichever comes first: the model must not depend on how rows are partitioned.
+    return marked.groupBy("positive", "least").agg(F.min("text").alias("text"))
 
 
 def _counted(sample: DataFrame) -> DataFrame:
@@ -156,15 +158,18 @@ def fit_nnpu(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, n_feat
 
 
 def fit(positives: DataFrame, unlabelled: DataFrame, prior: float, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES) -> ToxicityModel:
-    """A model from two tables with a ``text`` column, each sampled to about the given bound by a hash of the text.
+    """A model from two tables with a ``text`` column, each sampled to the given number of texts by a hash of the text.
+
+    Equal texts count once, so a table never gives more than the bound, and none only if it has no row.
 
     Without positives or unlabelled rows the model has no feature and scores the prior.
     """
 
     def sampled(table: DataFrame, bound: int, positive: bool) -> DataFrame:
-        table = table.select(F.coalesce("text", F.lit("")).alias("text"))
-        share = min(1.0, bound / max(1, table.count()))
-        return table.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).select(F.lit(positive).alias("positive"), "text")
+        table = table.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+        chosen = materialize(table.select("hash").distinct().orderBy(F.xxhash64("hash", F.lit(3)), "hash").limit(bound), "toxicity_hashes")
+        table = table.join(F.broadcast(chosen), "hash").groupBy("hash").agg(F.min("text").alias("text"))
+        return table.select(F.lit(positive).alias("positive"), "text")
 
     sample = sampled(positives, max_positive, True).union(sampled(unlabelled, max_unlabelled, False))
     sample = materialize(_distinct_texts(sample).select("positive", "text"), "toxicity_sample")
@@ -243,8 +248,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, **bounds: int) -> Toxicity
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     toxic = known.where("toxic = 1").select("doc_id")
     bound = bounds.get("max_positive", MAX_POSITIVE)
-    share = min(1.0, 2 * bound / max(1, toxic.count()))  # at most about twice the bound is joined
-    toxic = toxic.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    toxic = toxic.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(2 * bound)  # twice the bound, as texts may be equal
     return fit(train.join(F.broadcast(toxic), "doc_id").select("text"), train.select("text"), prior, **bounds)
 
 
