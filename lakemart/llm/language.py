@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm.toxicity import fold
+from lakemart.session import materialize
 
 BUCKETS = 1 << 14
 ORDERS = 3
@@ -125,13 +126,21 @@ def _temperature(logits: np.ndarray, truth: np.ndarray) -> float:
 
 
 def fit(texts: DataFrame, sample: int = SAMPLE_TEXTS) -> LanguageModel | None:
-    """A model from ``text, lang`` rows without nulls; None without a row. ``sample`` bounds about the texts learned from."""
+    """A model from ``text, lang`` rows without nulls; None without a row.
+
+    ``sample`` bounds the texts learned from: each language gives an equal number of different texts, those with the
+    smallest hashes. Copies count once, so no text weighs more than another and no language is without an example.
+    """
     rows, frequency = _document_frequencies(texts.select("text"))
     if not rows:
         return None
     idf = np.log((1 + rows) / (1 + frequency)) + 1
-    share = max(1, int(min(1.0, sample / rows) * 1_000_000))
-    chosen = texts.where(F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1_000_000)) < share)
+    hashed = texts.withColumn("hash", F.xxhash64("text"))
+    pairs = materialize(hashed.select("lang", "hash").distinct(), "language_hashes")
+    each = max(1, sample // pairs.select("lang").distinct().count())
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("hash", F.lit(9)), "hash")
+    taken = materialize(pairs.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= each).drop("rank"), "language_sample")
+    chosen = hashed.join(F.broadcast(taken), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,12 +152,12 @@ def fit(texts: DataFrame, sample: int = SAMPLE_TEXTS) -> LanguageModel | None:
 
     got = chosen.select("lang", "text").mapInArrow(run, "lang string, found binary, values binary").orderBy("lang", "found", "values").collect()
     languages = sorted({row["lang"] for row in got})
-    if not languages:  # the hash chose none of very few texts
-        languages, got = sorted(row["lang"] for row in texts.select("lang").distinct().limit(1000).collect()), []
     number = {name: i for i, name in enumerate(languages)}
     examples = [(np.frombuffer(r["found"], "<u2").astype(np.int64), np.frombuffer(r["values"], "<f4").astype(float), number[r["lang"]]) for r in got]
-    held, learned = examples[::5], [e for i, e in enumerate(examples) if i % 5]
-    weights, bias = fit_ftrl(learned or held, len(languages))
+    # Every fifth example of a language sets the temperature; the others, at least one of each language, the weights.
+    place = np.arange(len(examples)) - np.searchsorted([e[2] for e in examples], [e[2] for e in examples])
+    held, learned = ([e for e, p in zip(examples, place, strict=True) if bool(p % 5 == 4) is last] for last in (True, False))
+    weights, bias = fit_ftrl(learned, len(languages))
     logits = np.array([v @ weights[f] + bias for f, v, _ in held]).reshape(-1, len(languages))
     return LanguageModel(languages, idf, weights, bias, _temperature(logits, np.array([t for _, _, t in held], int)))
 
