@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lakemart.session import apply_defaults
 from lakemart.sources.files import read_zone
+from lakemart.sources.keymap import KeyMap
 from lakemart.sources.releases import Releases
 from lakemart.sources.standin import standin_source
 
@@ -22,9 +23,11 @@ class Lake:
     when it first read gold; what it stages itself comes on top. Others see staged models when ``release`` names them.
     """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], gold: str | None = None):
+    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], gold: str | None = None, keys: str | None = None):
+        """``keys`` is a folder for surrogate keys that outlive a rebuild; without it every build numbers anew."""
         self.spark = apply_defaults(spark)
         self.gold = gold
+        self.keys = keys
         self.measured: dict[str, dict[str, int]] = {}
         self._read_source = source
         self._frames: dict[str, DataFrame] = {}
@@ -81,6 +84,9 @@ class Lake:
             return self.model(dimension).drop(SURROGATE_KEYS[dimension])
         return self._once(f"attributes {dimension}", lambda: ATTRIBUTES[dimension](self))
 
+    def key_map(self, dimension: str) -> KeyMap | None:
+        return None if self.keys is None else KeyMap(self.spark, f"{self.keys}/{dimension}")
+
     def sql(self, text: str, *models: str) -> DataFrame:
         """Ad-hoc SQL over models, which appear as temporary views under their own names."""
         for name in models:

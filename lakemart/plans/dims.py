@@ -32,21 +32,27 @@ def product_attributes(lake) -> DataFrame:
     )
 
 
-def _with_surrogate(attributes: DataFrame, surrogate: str, natural: str) -> DataFrame:
-    numbered = global_row_number(attributes, surrogate, [F.col(natural).asc_nulls_last()])
+def _with_surrogate(lake, dimension: str, surrogate: str, natural: str) -> DataFrame:
+    """Dense numbers in the order of the natural key or, if the lake keeps keys, those that the keys got first."""
+    attributes = lake.attributes(dimension)
+    keys = lake.key_map(dimension)
+    if keys is not None:
+        numbered = keys.numbered(attributes, natural, surrogate)
+    else:
+        numbered = global_row_number(attributes, surrogate, [F.col(natural).asc_nulls_last()])
     return numbered.select(surrogate, *attributes.columns)
 
 
 def dim_customers(lake) -> DataFrame:
-    return _with_surrogate(lake.attributes("dim_customers"), "customer_sk", "customer_unique_id")
+    return _with_surrogate(lake, "dim_customers", "customer_sk", "customer_unique_id")
 
 
 def dim_sellers(lake) -> DataFrame:
-    return _with_surrogate(lake.attributes("dim_sellers"), "seller_sk", "seller_id")
+    return _with_surrogate(lake, "dim_sellers", "seller_sk", "seller_id")
 
 
 def dim_products(lake) -> DataFrame:
-    return _with_surrogate(lake.attributes("dim_products"), "product_sk", "product_id")
+    return _with_surrogate(lake, "dim_products", "product_sk", "product_id")
 
 
 def zip_centroids(lake) -> DataFrame:

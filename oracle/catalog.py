@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from lakemart import Lake
 from lakemart.functions import dates, numbers, text
-from lakemart.operators import baskets, intervals, keys, ranking, report
-from lakemart.plans import GOLD, STAGING, boards, checks
-from lakemart.session import scratch_path
+from lakemart.operators import baskets, bitmaps, intervals, keys, ranking, report
+from lakemart.plans import GOLD, STAGING, actives, boards, checks
+from lakemart.session import materialize, scratch_path
 from lakemart.sources import quarantine, slicing
 from lakemart.sources.files import read_model, read_raw, read_zone, write_days
 from lakemart.sources.schemas import REFERENCE_TABLES, SCHEMAS, SOURCE_TABLES
@@ -751,6 +751,57 @@ register(
        from (select count(*) filter (installments = 7) as faults, count(*) as n from fact_payments) counted""",
 )
 
+# --- kept keys and sets --------------------------------------------------------------------------------------------
+
+
+def _kept_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons numbered by a build that lacked a tenth of the orders, then by one that has them all."""
+    source, keys = standin_source(spark, sf_dir), scratch_path(spark, "keys")
+    late = F.regexp_extract("customer_unique_id", "[0-9]+", 0).cast("long") % 10 == 0
+
+    def early(table: str) -> DataFrame:
+        return source(table).where(~late) if table == "customers" else source(table)
+
+    Lake(spark, early, keys=keys).model("dim_customers")
+    return Lake(spark, source, keys=keys).model("dim_customers")
+
+
+def _month_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months' sets, made in three parts of the orders that share all months, and put together."""
+    source, keys = standin_source(spark, sf_dir), actives.key_maps(spark, scratch_path(spark, "keys"))
+    parts = []
+    for part in (2, 0, 1):
+        own = F.regexp_extract("order_id", "[0-9]+", 0).cast("long") % 3 == part
+        lake = Lake(spark, lambda table, own=own: source(table).where(own) if table == "orders" else source(table))
+        parts.append(materialize(actives.month_sets(lake, keys), "sets"))
+    return bitmaps.united(reduce(DataFrame.unionByName, parts), ["month", "what"])
+
+
+def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct persons and products by quarter, from the months' sets."""
+    by_quarter = _month_sets(spark, sf_dir).withColumn("quarter", F.trunc("month", "quarter"))
+    return bitmaps.counted(by_quarter, ["quarter", "what"], "members")
+
+
+register(
+    "dim_customers_kept_keys",
+    _kept_keys,
+    """select * replace (row_number() over (order by substr(customer_unique_id, 2)::bigint % 10 = 0, customer_unique_id) as customer_sk)
+       from dim_customers""",
+)
+register(
+    "agg_sets_by_quarter",
+    _quarters,
+    """select date_trunc('quarter', active_month)::date as quarter, 'persons' as what, count(distinct person) as members
+       from person_months group by 1
+       union all select date_trunc('quarter', date_key)::date, 'products', count(distinct product_id) from delivered_lines group by 1""",
+)
+register(
+    "rpt_cohort_retention_from_sets",
+    lambda spark, sf_dir: actives.retention(_month_sets(spark, sf_dir)),
+    "select * from rpt_cohort_retention",
+)
+
 # --- operators on the star-schema tables ---------------------------------------------------------------------------
 
 
