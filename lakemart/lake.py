@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from lakemart.session import apply_defaults
 from lakemart.sources.files import read_zone
 from lakemart.sources.keymap import KeyMap
+from lakemart.sources.reconcile import read_reconciled
 from lakemart.sources.releases import Releases
 from lakemart.sources.standin import standin_source
 
@@ -36,8 +37,10 @@ class Lake:
         self._pinned: tuple[int, dict[str, str]] | None = None
 
     @classmethod
-    def from_silver(cls, spark: SparkSession, silver: str, gold: str | None = None) -> Lake:
-        return cls(spark, lambda table: read_zone(spark, silver, table), gold)
+    def from_silver(cls, spark: SparkSession, silver: str, gold: str | None = None, reconcile: bool = False) -> Lake:
+        """``reconcile`` reads files whose columns differ from the declared ones, at the price of a look at each day."""
+        read = read_reconciled if reconcile else read_zone
+        return cls(spark, lambda table: read(spark, silver, table), gold)
 
     @classmethod
     def from_days(cls, ledger, gold: str | None = None) -> Lake:
