@@ -21,6 +21,7 @@ from lakemart.session import materialize
 
 # monotonically_increasing_id() keeps the partition above this bit and the row position below it.
 _POSITION_BITS = 33
+_NUMBER = "decimal(38,4)"
 
 
 def _numbered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -66,43 +67,58 @@ def global_ntile(df: DataFrame, name: str, tiles: int, order: Sequence[Column])
     return _drop_helpers(numbered.withColumn(name, _tile(F.col("_number") - 1, F.col("_total"), tiles)))
 
 
+def _order(value: Column, key: Column) -> Column:
+    """A value that compares as its row sorts: by number, NULL last, then by key."""
+    return F.struct(value.isNull().alias("n"), F.coalesce(value, F.lit(0).cast(_NUMBER)).alias("v"), key.isNull().alias("k"), F.coalesce(key, F.lit("")).alias("s"))
+
+
 def global_ntiles(df: DataFrame, key: str, tiles: int, few: dict[str, Column], many: dict[str, Column]) -> DataFrame:
-    """Adds several NTILE columns at once, each in the order of a number and then of ``key``; NULLs come last.
+    """Adds several NTILE columns at once, each in the order of a number and then of ``key``, a text; NULLs come last.
 
-    ``key`` is unique. The numbers in ``few`` take few values (days, small counts): rows are counted per value, and a
-    value whose rows all fall in one tile needs no ranking. What is left of them, the rows of the at most
-    ``tiles - 1`` values on a tile's edge, is ranked together with the rows of ``many`` in one sort. The counts per
-    value see a single-task window; ``df`` is written once.
+    A tile is known by its first row, so all that is looked for are the ``tiles - 1`` first rows of each column. Those of
+    the numbers in ``few`` (days, small counts), which take few values, lie in at most as many values: rows are counted
+    per value, and only the rows of these values are sorted, by key. The numbers in ``many`` are sorted whole. All sorts
+    are one range exchange of numbers and keys. Every row then compares itself with the first rows: ``df`` is written
+    once and neither exchanged nor joined. The driver sees the first rows, and the counts per value see a single-task window.
     """
     rows = materialize(df, "tiled")
-    known, ranked = [], []
-    for name, number in few.items():
-        values = rows.groupBy(number.cast("decimal(38,4)").alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-        by_value = Window.orderBy(F.col("_value").asc_nulls_last())
-        values = values.withColumn("_first", F.sum("_rows").over(by_value) - F.col("_rows"))
-        values = values.withColumn("_total", F.sum("_rows").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        first = _tile(F.col("_first"), F.col("_total"), tiles)
-        last = _tile(F.col("_first") + F.col("_rows") - 1, F.col("_total"), tiles)
-        values = values.select("_value", "_first", "_total", F.when(first == last, first).alias("_tile"))
-        own = rows.select(F.col(key).alias("_key"), number.cast("decimal(38,4)").alias("_own"))
-        found = own.join(values, F.col("_own").eqNullSafe(F.col("_value"))).select(F.lit(name).alias("_name"), "_key", "_value", "_first", "_total", "_tile")
-        known.append(found.where("_tile is not null").select("_name", "_key", "_tile"))
-        ranked.append(found.where("_tile is null").drop("_tile"))
-    total = rows.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    for name, number in many.items():
-        ranked.append(
-            rows.select(
-                F.lit(name).alias("_name"), F.col(key).alias("_key"), number.cast("decimal(38,4)").alias("_value"), F.lit(0).cast("bigint").alias("_first"), total.alias("_total")
-            )
-        )
-    every = reduce(DataFrame.union, ranked).withColumnRenamed("_total", "_rows")
-    numbered = _numbered(every, [F.col("_name"), F.col("_value").asc_nulls_last(), F.col("_key").asc_nulls_last()])
-    # Within one column and, for the few, one value, the ranks run on without a gap: subtract where they begin.
-    group = ["_name", "_group"]
-    numbered = numbered.withColumn("_group", F.when(F.col("_name").isin(list(few)), F.coalesce(F.col("_value").cast("string"), F.lit("null"))).otherwise(""))
-    begins = numbered.groupBy(*group).agg(F.min("_number").alias("_begin"))
-    index = F.col("_first") + F.col("_number") - F.col("_begin")
-    placed = numbered.join(F.broadcast(begins), group).select("_name", "_key", _tile(index, F.col("_rows"), tiles).alias("_tile"))
-    found = reduce(DataFrame.union, [placed, *known])
-    scores = found.groupBy("_key").agg(*[F.max(F.when(F.col("_name") == n, F.col("_tile"))).alias(n) for n in [*few, *many]])
-    return rows.join(scores, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    total = rows.count()
+    cuts = [c for t in range(1, tiles) if (c := t * (total // tiles) + min(t, total % tiles)) < total]
+    numbers = {name: number.cast(_NUMBER) for name, number in (few | many).items()}
+    # (column, value or None for all rows, place among its rows) of the first row of each tile but the first.
+    firsts: dict[str, list[tuple]] = {name: [] for name in numbers}
+    looked, narrow = [], []
+    for name in few if cuts else ():
+        values = rows.groupBy(numbers[name].alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+        values = values.withColumn("_first", F.sum("_rows").over(Window.orderBy(F.col("_value").asc_nulls_last())) - F.col("_rows"))
+        within = F.filter(F.array(*map(F.lit, cuts)), lambda c: (c >= F.col("_first")) & (c < F.col("_first") + F.col("_rows")))
+        found = values.select("_value", "_first", F.explode(within).alias("_cut")).collect()
+        for value, first, cut in found:
+            if cut == first:
+                firsts[name].append((value, None))
+            else:
+                looked.append((name, value, cut - first))
+        edges = {value for _, value, _ in (e for e in looked if e[0] == name)}
+        if edges:
+            own = reduce(Column.__or__, [numbers[name].eqNullSafe(F.lit(v).cast(_NUMBER)) for v in edges])
+            narrow.append(rows.where(own).select(F.lit(name).alias("_name"), numbers[name].alias("_value"), F.col(key).alias("_key")))
+    for name in many if cuts else ():
+        looked += [(name, None, cut) for cut in cuts]
+        narrow.append(rows.select(F.lit(name).alias("_name"), numbers[name].alias("_value"), F.col(key).alias("_key")))
+    if narrow:
+        numbered = _numbered(reduce(DataFrame.union, narrow), [F.col("_name"), F.col("_value").asc_nulls_last(), F.col("_key").asc_nulls_last()])
+        # Within a column or, for the few, a value, the numbers run on without a gap: one row for each.
+        group = F.when(F.col("_name").isin(list(few)), F.col("_value"))
+        begins = {(r[0], r[1]): r[2] for r in numbered.groupBy("_name", group.alias("_group")).agg(F.min("_number")).collect()}
+        wanted = [begins[name, value if name in few else None] + place for name, value, place in looked]
+        for name, value, own in numbered.where(F.col("_number").isin(wanted)).select("_name", "_value", "_key").collect():
+            firsts[name].append((value, (own,)))
+    for name, number in numbers.items():
+        tile = F.lit(1).cast("bigint")
+        for value, own in firsts[name]:
+            # A tile that begins with a value's first row begins before every key.
+            start = F.lit(own[0] if own else "").cast("string")
+            begin = F.struct(F.lit(value is None).alias("n"), F.lit(value or 0).cast(_NUMBER).alias("v"), F.lit(bool(own) and own[0] is None).alias("k"), F.coalesce(start, F.lit("")).alias("s"))
+            tile = tile + F.when(_order(number, F.col(key)) >= begin, 1).otherwise(0)
+        rows = rows.withColumn(name, tile)
+    return rows

@@ -178,9 +178,9 @@ def advance(ledger: DayLedger, source: Callable[[str], DataFrame], days: int = 1
     return _taken(ledger, source, batch)
 
 
-def retake(ledger: DayLedger, source: Callable[[str], DataFrame], day: str) -> list[str]:
-    """Cut one day again, e.g. after late corrections; it replaces the day in all tables at once."""
-    return _taken(ledger, source, ledger.begin([day]))
+def retake(ledger: DayLedger, source: Callable[[str], DataFrame], *days: str) -> list[str]:
+    """Cut some days again, e.g. after late corrections; they are replaced in all tables at once."""
+    return _taken(ledger, source, ledger.begin(days))
 
 
 def promote(before: DayLedger, behind: DayLedger) -> list[str]:

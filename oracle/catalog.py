@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from lakemart import Lake
 from lakemart.functions import dates, numbers, text
 from lakemart.operators import baskets, bitmaps, intervals, keys, ranking, report
-from lakemart.plans import GOLD, STAGING, actives, boards, checks
+from lakemart.plans import GOLD, STAGING, actives, backlog, boards, checks
 from lakemart.session import materialize, scratch_path
-from lakemart.sources import quarantine, slicing
+from lakemart.sources import quarantine, reconcile, slicing
 from lakemart.sources.files import read_model, read_raw, read_zone, write_days
 from lakemart.sources.schemas import REFERENCE_TABLES, SCHEMAS, SOURCE_TABLES
 from lakemart.sources.standin import standin_source, star_table
-from lakemart.streaming import ledger, zones
+from lakemart.streaming import ledger, pieces, zones
 from oracle.relations import RELATIONS, with_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -394,6 +394,34 @@ def _silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone(spark, f"{root}/silver", "events", schema)
 
 
+def _late_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day in three pieces that overlap, each taken by a run of its own into silver that is never rewritten."""
+    root, events = scratch_path(spark, "late"), _events(spark, sf_dir)
+    dated = events.withColumn("date", slicing.order_day(events))
+    for held in ((0,), (0, 1), (1, 2)):
+        part = dated.where((F.col("event_id") % 3).isin(*held)).hint("rebalance", "date")
+        part.write.mode("append").partitionBy("date").parquet(f"{root}/landing/events")
+        pieces.landing_pieces_to_bronze(
+            spark, f"{root}/landing", f"{root}/bronze", "events", f"{root}/seen-landing", events.schema, zones.TABLE_FOLDERS
+        ).awaitTermination()
+        pieces.bronze_pieces_to_silver(spark, f"{root}/bronze", f"{root}/silver", "events", f"{root}/seen-bronze", events.schema).awaitTermination()
+    return pieces.read_pieces(spark, f"{root}/silver", "events", events.schema)
+
+
+def _mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose files lack a column, hold narrower types, or have a column more, read as one table."""
+    root, events = scratch_path(spark, "mixed"), _events(spark, sf_dir)
+    dated = events.withColumn("date", slicing.order_day(events))
+    kinds = (
+        dated.drop("props"),
+        dated.withColumns({"user_id": F.col("user_id").cast("int"), "value": F.floor("value").cast("int")}),
+        dated.select(F.lit("more").alias("added"), *reversed(dated.columns)),
+    )
+    for number, rows in enumerate(kinds):
+        rows.where(F.dayofmonth("date") % 3 == number).hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(f"{root}/events")
+    return reconcile.read_reconciled(spark, root, "events", events.schema)
+
+
 def _pieces_in_archive(files_per_trigger: int | None) -> Query:
     """Every day in three pieces, two of them in a first run and one in a second, consumed files moved to an archive."""
 
@@ -491,6 +519,27 @@ def _day_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, [rows.select(F.lit(phase).alias("phase"), "*") for phase, rows in phases])
 
 
+def _carried_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backlog carried over batches of days, the first of which is delivered wrong, taken again and corrected."""
+    source = _only_orders(standin_source(spark, sf_dir), f"{_RANGE_COLUMN} between '{_FROM}' and '{_TO}'")
+    root, schemas = scratch_path(spark, "carried"), {t: source(t).schema for t in SOURCE_TABLES}
+    days, state = ledger.DayLedger(spark, f"{root}/days", schemas=schemas), backlog.backlog_state(spark, f"{root}/state")
+
+    def wrong(table: str) -> DataFrame:
+        rows = source(table)
+        return rows.where("order_item_id <> 2").withColumn("price", F.col("price") + 1) if table == "order_items" else rows
+
+    taken = ledger.advance(days, wrong, _BATCH_DAYS)
+    while taken:
+        backlog.carry_backlog(days, state)
+        taken = ledger.advance(days, source, _BATCH_DAYS)
+    first, *rest = list(days.days())[:_BATCH_DAYS]
+    for again in ([first], rest):
+        ledger.retake(days, source, *again)
+        backlog.carry_backlog(days, state)
+    return backlog.carried_backlog(state)
+
+
 def _days_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole days from the raw tables to bronze (one of them taken twice), to silver, and a model of them in gold."""
     source = _only_orders(standin_source(spark, sf_dir), f"{_RANGE_COLUMN} between '{_FROM}' and '{_TO}'")
@@ -649,6 +698,25 @@ def _cursor_sql() -> str:
 
 register("str_day_cursor", _day_cursor, _cursor_sql())
 register("str_days_to_gold", _days_to_gold, f"select i.* from fact_order_items i join {_IN_RANGE} o on o.order_id = i.order_id")
+register(
+    "snapshot_backlog_carried",
+    _carried_backlog,
+    f"""select seller_id, day as snapshot_date, count(*) as open_orders_count, round(sum(worth), 2) as revenue_in_transit
+        from (select seller_id, price + freight_value as worth, order_purchase_timestamp::date as opened, order_delivered_customer_date::date as closed
+              from stg_orders join src_order_items using (order_id)
+              where order_status in ('shipped', 'delivered', 'invoiced', 'processing') and {_RANGE_SQL}) line
+        join (select unnest(generate_series(min({_DAY_SQL}), max({_DAY_SQL}), interval 1 day))::date as day from stg_orders
+              where order_status in ('shipped', 'delivered', 'invoiced', 'processing') and {_RANGE_SQL}) spine
+          on day >= opened and (closed is null or day <= closed)
+        group by 1, 2""",
+)
+register("str_late_pieces", _late_pieces, _EVENTS_SQL)
+register(
+    "src_mixed_files",
+    _mixed_files,
+    """select event_id, ts as order_purchase_timestamp, user_id, event_type,
+              if(day(ts) % 3 = 1, floor(value), value) as value, if(day(ts) % 3 = 0, null, props) as props, ts::date as date from events""",
+)
 register("gold_fact_orders", _gold("fact_orders"), "select * from fact_orders")
 register("gold_rpt_cohort_retention", _gold("rpt_cohort_retention", "fact_orders"), "select * from rpt_cohort_retention")
 register(

@@ -136,3 +136,22 @@ def test_top_n_puts_nulls_last(spark):
 def test_profile_counts(spark):
     frame = spark.createDataFrame([("a", 1), ("a", None), (None, None)], "k string, v int")
     assert rows(report.profile(frame)) == [("k", "string", 3, 2, 2, 1), ("v", "int", 3, 2, 1, 1)]
+
+
+@pytest.mark.parametrize(("count", "tiles"), [(0, 5), (3, 5), (5, 5), (47, 5), (200, 7)])
+def test_several_tiles_equal_single_ones(spark, count, tiles):
+    """Ties, NULLs, one value that holds nearly all rows, fewer rows than tiles, and an empty frame."""
+    draw = random.Random(count)
+    made = [(f"k{i * 7919 % 1000:03d}", draw.choice([1, 1, 1, 1, 1, 1, 2, 3, None]), draw.choice([10, 11, 12, None]), draw.choice([0.25, 1.5, draw.random(), None])) for i in range(count)]
+    frame = spark.createDataFrame(made, "k string, often int, day int, money double")
+    columns = {"often": F.col("often"), "day": -F.col("day")}
+    found = ranking.global_ntiles(frame, "k", tiles, {f"{c}_tile": v for c, v in columns.items()}, {"money_tile": F.col("money").cast("decimal(18,4)")})
+    expected = {}
+    for name, place in (("often_tile", lambda r: r[1]), ("day_tile", lambda r: None if r[2] is None else -r[2]), ("money_tile", lambda r: None if r[3] is None else round(r[3], 4))):
+        order = sorted(made, key=lambda r, place=place: (place(r) is None, place(r) or 0, r[0]))
+        for index, row in enumerate(order):
+            small, large = divmod(len(order), tiles)
+            tile = index // (small + 1) if index < large * (small + 1) else large + (index - large * (small + 1)) // small
+            expected.setdefault(row[0], {})[name] = tile + 1
+    assert {r["k"]: {n: r[n] for n in ("often_tile", "day_tile", "money_tile")} for r in found.collect()} == expected
+    assert found.columns[:4] == frame.columns
