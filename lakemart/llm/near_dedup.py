@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.graph import connected_components
 from lakemart.llm.words import mix64, seeded, text_shingles
+from lakemart.operators.keys import join_to_grouped
 from lakemart.session import apply_defaults, materialize
 
 SHINGLE_WORDS = 5
@@ -143,11 +144,11 @@ def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def _screened(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose ``key`` may be among the keys of ``wanted``; none that is among them is left out.
+    """The rows of ``texts`` whose ``id`` and ``same_a`` may be among those of ``wanted``; none that is among them is left out.
 
     A bit map of hashed keys, at most ``SCREEN_WORDS`` rows however many keys there are, goes to every executor.
     """
-    hashed = F.xxhash64("key", F.lit(5))
+    hashed = F.xxhash64("id", "same_a", F.lit(5))
     word, bit = F.pmod(hashed, F.lit(SCREEN_WORDS)).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(hashed, 40).cast("int").bitwiseAND(63))
     bits = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
     return texts.withColumn("word", word).join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits")
@@ -215,7 +216,7 @@ def _block_links(similarity: float):
 
 
 def _links(distinct: DataFrame, texts: DataFrame, bands: int, words: int, similarity: float) -> DataFrame:
-    """Links ``a, b`` that connect all near-duplicate distinct texts of ``distinct`` (``key, same_a, same_b, bands``)."""
+    """Links ``a, b`` that connect all near-duplicate distinct texts of ``distinct`` (``key, same_a, same_b, least, bands``)."""
     spots = distinct.select("key", F.posexplode("bands").alias("band", "bucket"))
     full = materialize(spots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = materialize(spots.join(full, "bucket"), "members")
@@ -228,9 +229,12 @@ def _links(distinct: DataFrame, texts: DataFrame, bands: int, words: int, simila
     stars = materialize(members.join(pivots, "bucket").select("bucket", "band", "key", "pivot"), "stars")
     pairs = materialize(stars.where("key <> pivot").select("key", "pivot").distinct(), "pairs")
 
-    met = materialize(distinct.join(popular, "key").select("key", "same_a", "same_b"), "met")
-    # An inner join: a semi-join would be pushed below the screen.
-    sets = materialize(_shingle_sets(_screened(texts, met).join(met, ["key", "same_a", "same_b"]), words), "shingles")
+    met = materialize(distinct.join(popular, "key").select("key", "same_a", "same_b", F.col("least").alias("id")), "met")
+    # An inner join: a semi-join would be pushed below the screen. Rows that repeat both id and text are one.
+    wanted = met.select("key", *[F.col(c).alias(f"{c}_2") for c in ("same_a", "same_b", "id")])
+    found = _screened(texts, met).join(wanted, (F.col("same_a") == F.col("same_a_2")) & (F.col("same_b") == F.col("same_b_2")) & F.col("id").eqNullSafe(F.col("id_2")))
+    found = found.dropDuplicates(["same_a", "same_b", "id"])
+    sets = materialize(_shingle_sets(found, words), "shingles")
     mine = materialize(pairs.join(sets, "key"), "mine")
     other = sets.select(F.col("key").alias("pivot"), F.col("shingles").alias("theirs"))
     common = F.size(F.array_intersect("shingles", "theirs"))
@@ -266,6 +270,33 @@ def _links(distinct: DataFrame, texts: DataFrame, bands: int, words: int, simila
     return links.union(materialize(more, "block_links"))
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, text, same_a, same_b``: rows whose two hashes agree have the same text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    same_b = F.hash(text, F.lit(1), F.lit(text_col)).cast("long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("same_a"), same_b.alias("same_b"))
+
+
+_SAME = ["same_a", "same_b"]
+
+
+def _classes(base: DataFrame, weighting: str, bands: int, rows: int, words: int, similarity: float) -> DataFrame:
+    """``same_a, same_b, least, n_copies, class`` of every distinct text: its smallest id, its rows, a number of its class."""
+    signatures = materialize(sketch(base.withColumnRenamed("id", "key"), weighting, bands, rows, words), "signatures")
+    copies = signatures.groupBy(*_SAME).agg(F.min("key").alias("least"), F.count("*").alias("n_copies"))
+    # Texts are told apart by a number of their own: an id may stand for several texts, and a text for several ids.
+    copies = materialize(copies.withColumn("node", F.monotonically_increasing_id()), "copies")
+    numbered = copies.select(*[F.col(c).alias(f"{c}_2") for c in _SAME], "least", "node")
+    own = (F.col("same_a") == F.col("same_a_2")) & (F.col("same_b") == F.col("same_b_2")) & F.col("key").eqNullSafe(F.col("least"))
+    distinct = signatures.where(F.size("bands") > 0).join(numbered, own).dropDuplicates([*_SAME, "key"])
+    distinct = materialize(distinct.select(F.col("node").alias("key"), *_SAME, "least", "bands"), "distinct")
+    links = _links(distinct, base, bands, words, similarity)
+    parts = materialize(connected_components(links), "classes")
+    return materialize(
+        copies.join(parts, "node", "left").select(*_SAME, "least", "n_copies", F.coalesce("component", "node").alias("class")), "class_of_text"
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -282,55 +313,35 @@ def near_duplicates(
     similarity of at least ``similarity``. Signatures find a pair at exactly 0.8 with probability 1 - 3e-5 and a
     more similar one with a higher probability. ``n_copies`` counts the rows with the very same text.
 
-    Null and empty texts are equal texts; a text without words is in a class with equal texts only. Rows with a null id
-    are compared like others; they get a negative stand-in as class only if no row with an id is in the class. Repeated
-    rows stay repeated, ties go to the smaller id, an empty table gives an empty result, other columns are ignored.
-    An id is taken to name one text: where rows share an id but not the text, they share a class.
+    Texts are compared, not ids: rows that share an id but not the text are in classes of their own texts. Null and
+    empty texts are equal texts; a text without words is in a class with equal texts only. Rows with a null id are
+    compared like others; only a class in which no row has an id is named by a negative stand-in, a hash. Negative ids are
+    ids like others. Repeated rows stay repeated, an empty table gives an empty result, other columns are ignored.
     """
     apply_defaults(docs.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    stand_in = -F.shiftrightunsigned(F.xxhash64(text), 2) - 1
-    base = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.coalesce(F.col(id_col).cast("long"), stand_in).alias("key"),
-        text.alias("text"),
-        F.xxhash64(text).alias("same_a"),
-        F.hash(text, F.lit(1), F.lit(text_col)).cast("long").alias("same_b"),
-    )
-    signatures = materialize(sketch(base, weighting, bands, rows, words), "signatures")
-    same = ["same_a", "same_b"]
-    copies = materialize(
-        signatures.groupBy(*same).agg(
-            F.min(F.when(F.col("key") >= 0, F.col("key"))).alias("some"), F.min("key").alias("any"), F.count("*").alias("n_copies")
-        ).select(*same, F.coalesce("some", "any").alias("key"), "n_copies"),
-        "copies",
-    )
-    distinct = materialize(
-        signatures.join(copies.select(*same, "key"), [*same, "key"]).where(F.size("bands") > 0).dropDuplicates(["key"]),
-        "distinct",
-    )
-    links = _links(distinct, base, bands, words, similarity)
-    parts = materialize(connected_components(links), "classes")
-    classes = materialize(
-        copies.join(parts.withColumnRenamed("node", "key"), "key", "left")
-        .select(*same, F.coalesce("component", "key").alias("class_id"), "n_copies"),
-        "class_of_text",
-    )
-    return (
-        base.select("id", *same).join(classes, same)
-        .select(F.col("id").alias(id_col), "class_id", "n_copies")
-    )
+    base = _texts(docs, id_col, text_col)
+    texts = _classes(base, weighting, bands, rows, words, similarity)
+    stand_in = -F.shiftrightunsigned(F.min("same_a"), 2) - 1
+    names = texts.groupBy("class").agg(F.coalesce(F.min("least"), stand_in).alias("class_id"))
+    named = materialize(join_to_grouped(texts, names, "class").select(*_SAME, "class_id", "n_copies"), "named")
+    return base.select("id", *_SAME).join(named, _SAME).select(F.col("id").alias(id_col), "class_id", "n_copies")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that represent their class: one row for each class, columns unchanged.
+    """One row of ``docs`` for each class, columns unchanged: one with the class's smallest id, or of ties the smallest hash.
 
-    Rows that repeat the representative's id and text are one document; one of them stays.
+    A text goes only if its class has another row that stays. Rows that repeat the representative's id and text are one
+    document; one of them stays. Columns may have any names; nulls and empty tables as in ``near_duplicates``.
     """
-    classes = near_duplicates(docs, id_col, text_col)
-    heads = materialize(classes.where(F.col(id_col).eqNullSafe(F.col("class_id")) | (F.col("class_id") < 0)).select("class_id").distinct(), "heads")
+    apply_defaults(docs.sparkSession)
+    texts = _classes(_texts(docs, id_col, text_col), "set", BANDS, BAND_ROWS, SHINGLE_WORDS, SIMILARITY)
+    first = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", *_SAME))
+    heads = texts.groupBy("class").agg(first.alias("head")).select("head.least", "head.same_a", "head.same_b")
+    heads = materialize(heads, "heads")
+    names = {c: f"_{c}" + "_" * max([0, *[len(d) for d in docs.columns]]) for c in ("same_a", "same_b", "id")}
     text = F.coalesce(F.col(text_col), F.lit(""))
-    stand_in = -F.shiftrightunsigned(F.xxhash64(text), 2) - 1
-    own = F.coalesce(F.col(id_col).cast("long"), stand_in)
-    kept = docs.withColumn("__head", own).join(heads.withColumnRenamed("class_id", "__head"), "__head", "left_semi")
-    return kept.dropDuplicates(["__head"]).drop("__head")
+    marked = docs.withColumns({names["same_a"]: F.xxhash64(text), names["same_b"]: F.hash(text, F.lit(1), F.lit(text_col)).cast("long"), names["id"]: F.col(id_col).cast("long")})
+    own = F.col(names["id"]).eqNullSafe(F.col("head_id"))
+    heads = heads.select(*[F.col(c).alias(names[c]) for c in _SAME], F.col("least").alias("head_id"))
+    kept = marked.alias("d").join(heads.alias("h"), [F.col(f"d.{names[c]}") == F.col(f"h.{names[c]}") for c in _SAME] + [own], "left_semi")
+    return kept.dropDuplicates([names["same_a"], names["same_b"]]).drop(*names.values())

@@ -333,6 +333,24 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert near_dedup.near_duplicates(frame.limit(0)).count() == near_dedup.keep_one(frame.limit(0)).count() == 0
 
 
+def test_texts_are_compared_not_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join([*base[:-1], "end"])
+    base = " ".join(base)
+    made = [
+        (5, base), (None, near),  # a row without an id takes the name of its class
+        (1, "one text of this id"), (1, "quite another text that shares the id only"), (1, "one text of this id"),
+        (-7, "negative ids are ids"), (-3, "negative ids are ids"), (9, "Negative ids, are ids"), (2, None), (3, ""),
+    ]
+    frame = spark.createDataFrame([(*m, "clash", "clash") for m in made], "doc_id long, text string, _same_a string, least string")
+    found = sorted(((r["doc_id"], r["class_id"], r["n_copies"]) for r in near_dedup.near_duplicates(frame).collect()), key=str)
+    assert found == sorted([(5, 5, 1), (None, 5, 1), (1, 1, 2), (1, 1, 2), (1, 1, 1), (-7, -7, 2), (-3, -7, 2), (9, -7, 1), (2, 2, 2), (3, 2, 2)], key=str)
+    kept = near_dedup.keep_one(frame)
+    assert kept.columns == frame.columns
+    expected = [(-7, "negative ids are ids"), (1, "one text of this id"), (1, "quite another text that shares the id only"), (2, None), (5, base)]
+    assert rows(kept.select("doc_id", "text")) == sorted(expected, key=str)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(5)
     elements = words.mix64(np.arange(1, 301, dtype=np.uint64))
