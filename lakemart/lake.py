@@ -24,11 +24,16 @@ class Lake:
     when it first read gold; what it stages itself comes on top. Others see staged models when ``release`` names them.
     """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], gold: str | None = None, keys: str | None = None):
-        """``keys`` is a folder for surrogate keys that outlive a rebuild; without it every build numbers anew."""
+    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], gold: str | None = None, keys: str | None = None, buckets: int | None = None):
+        """``keys`` is a folder for surrogate keys that outlive a rebuild; without it every build numbers anew.
+
+        ``buckets`` lays out the facts in gold by order, in so many buckets: joins of facts then move no lines. Choose it
+        so that a bucket of the largest fact fits in a task, and keep it.
+        """
         self.spark = apply_defaults(spark)
         self.gold = gold
         self.keys = keys
+        self.buckets = buckets
         self.measured: dict[str, dict[str, int]] = {}
         self._read_source = source
         self._frames: dict[str, DataFrame] = {}
@@ -115,10 +120,11 @@ class Lake:
 
         The write counts the model's rows and the NULLs of its required columns as they pass: ``measured``.
         """
+        from lakemart.plans import LAID_OUT
         from lakemart.plans.checks import measures
 
         seen = Observation()
-        folder = self.releases.stage(self.model(name).observe(seen, *measures(name)), name)
+        folder = self.releases.stage(self.model(name).observe(seen, *measures(name)), name, LAID_OUT.get(name), self.buckets)
         self.measured[name] = seen.get
         self._staged[name] = folder
         self._published.add(name)
@@ -146,6 +152,10 @@ class Lake:
         self._published.add(name)
         return self._frames[name]
 
+    def is_written(self, name: str) -> bool:
+        """Whether a model is read from its gold folder."""
+        return name in self._published
+
     def forget_unpublished(self) -> None:
         """Build all models anew that are not in gold, e.g. after their scratch tables were deleted."""
         self._frames = {k: f for k, f in self._frames.items() if k in self._published or k.startswith("source ")}

@@ -53,6 +53,9 @@ ATTRIBUTES = {
 }
 SURROGATE_KEYS = {"dim_customers": "customer_sk", "dim_sellers": "seller_sk", "dim_products": "product_sk"}
 
+# Facts that are joined by order, and the column that a lake with buckets lays them out by.
+LAID_OUT = dict.fromkeys(("fact_orders", "fact_order_items", "fact_payments", "fact_reviews", "fact_order_lifecycle", "fact_shipping_network"), "order_id")
+
 # Rows that exist exactly if a model has rows, without the ranking or the running sums of the model itself.
 _BEFORE_RANKING = {
     "rpt_customer_rfm": lambda lake: products.delivered_sales(lake).where("person is not null"),

@@ -72,7 +72,8 @@ def fact_order_lifecycle(lake) -> DataFrame:
 def fact_shipping_network(lake) -> DataFrame:
     """One row per order line whose buyer and seller zip both have coordinates.
 
-    Coordinates are attached at order and at seller grain first; the lines themselves move once, on order_id.
+    Coordinates are attached at order and at seller grain first; the lines themselves move once on order_id, or not at
+    all where they are laid out by it.
     """
     spots = zip_centroids(lake)
     buyer_spot = spots.select(
@@ -94,8 +95,10 @@ def fact_shipping_network(lake) -> DataFrame:
     )
     sellers = lake.model("stg_sellers").select("seller_id", "seller_zip_code_prefix")
     seller_spots = join_to_grouped(sellers, seller_spot, "seller_zip_code_prefix").select("seller_id", "sell_lat", "sell_lng")
-    lines = lake.model("stg_order_items").select("order_id", "seller_id")
-    routes = join_to_grouped(lines, seller_spots, "seller_id").join(order_spots, "order_id")
+    # Once published, the fact is the narrower and, with buckets, the one laid out by order.
+    items = "fact_order_items" if lake.is_written("fact_order_items") else "stg_order_items"
+    lines = lake.model(items).select("order_id", "seller_id").join(order_spots, "order_id")
+    routes = join_to_grouped(lines, seller_spots, "seller_id")
     distance = great_circle_km(F.col("sell_lat"), F.col("sell_lng"), F.col("cust_lat"), F.col("cust_lng"))
     return routes.select("order_id", "cust_lat", "cust_lng", "sell_lat", "sell_lng", distance.alias("distance_km"))
 

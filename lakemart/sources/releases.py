@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.sources.buckets import is_bucketed, read_bucketed, write_bucketed
 from lakemart.sources.commits import CommitLog, Folder
 
 
@@ -25,14 +26,18 @@ class Releases:
         number, models = self.log.latest()
         return number, models or {}
 
-    def stage(self, df: DataFrame, model: str) -> str:
-        """Write a model to a folder of its own that no reader knows yet."""
+    def stage(self, df: DataFrame, model: str, key: str | None = None, buckets: int | None = None) -> str:
+        """Write a model to a folder of its own that no reader knows yet, laid out by ``key`` if ``buckets`` are given."""
         folder = f"{model}/v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.gold}/{folder}")
+        if key is not None and buckets:
+            write_bucketed(df, f"{self.gold}/{folder}", key, buckets)
+        else:
+            df.write.parquet(f"{self.gold}/{folder}")
         return folder
 
     def read(self, folder: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.gold}/{folder}")
+        path = f"{self.gold}/{folder}"
+        return read_bucketed(self.spark, path) if is_bucketed(self.spark, path) else self.spark.read.parquet(path)
 
     def release(self, staged: dict[str, str], after: int | None = None) -> int:
         """Make staged folders current, all at once; models that were not staged keep the folder they have.
