@@ -31,6 +31,7 @@ CACHED_HOSTS = 64
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _NAME_PART = re.compile(r"[a-z]+")
+_NAME = re.compile(r"[^\s]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
@@ -44,6 +45,11 @@ BOILERPLATE = frozenset(
     "promo promoted notice cookie cookies consent gdpr popup newsletter subscribe signup login share sharing social related recommended pagination "
     "pager comment comments commentlist commentary disqus replies reply respond form search copyright masthead skip toc disclaimer".split()
 )
+# A name that begins so tells of an element's state, not of what it is: "has-comments", "no-sidebar".
+STATES = frozenset("has no not with without is".split())
+# These mark a compound name only before the name of a part of a page: "search-form", but not "search-results".
+AMBIGUOUS = frozenset("social search".split())
+PARTS = frozenset("area bar block box buttons container field form icons input items links list media menu nav section share widget wrapper".split())
 WEAK_BOILERPLATE = frozenset("header widget modal overlay alert toast toolbar dialog top bottom".split())
 CONTENT = frozenset("article content main post entry body story text title headline".split())
 
@@ -58,19 +64,35 @@ class _Node:
         self.region = self.block = 0
 
 
-def _named(attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element's class, id or role mark it as boilerplate, and as content or as the main region."""
+def _marks(name: str) -> set[str]:
+    """The words of one class name or id that may mark an element."""
+    parts = _NAME_PART.findall(name)
+    if len(parts) > 1 and parts[0] in STATES:
+        return set()
+    return {p for i, p in enumerate(parts) if p not in AMBIGUOUS or len(parts) == 1 or i == len(parts) - 1 or set(parts[i + 1 :]) & (PARTS | BOILERPLATE)}
+
+
+def _named(attributes: str, tag: str = "div") -> tuple[bool, bool, bool]:
+    """Whether an element's class, id or role mark it as boilerplate, and as content or as the main region.
+
+    An article or a main region is boilerplate only if a whole name says so.
+    """
     if "=" not in attributes:
         return False, False, False
-    words, role = set(), ""
+    names, role = [], ""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id"):
-            words |= set(_NAME_PART.findall((a or b or c).lower()))
+            names += _NAME.findall((a or b or c).lower())
         elif name.lower() == "role":
             role = (a or b or c).strip().lower()
-    content = bool(words & CONTENT)
-    bad = role in ROLES or bool(words & BOILERPLATE) or (not content and bool(words & WEAK_BOILERPLATE))
-    return bad, content, role in ("main", "article")
+    words = set().union(*map(_marks, names))
+    is_main = role in ("main", "article")
+    content = bool(set().union(*map(set, map(_NAME_PART.findall, names))) & CONTENT)
+    if is_main or tag in ("article", "main"):
+        bad = bool(set(names) & BOILERPLATE)
+    else:
+        bad = bool(words & BOILERPLATE) or (not content and bool(words & WEAK_BOILERPLATE))
+    return role in ROLES or bad, content, is_main
 
 
 def parse(html: str) -> tuple[_Node, list[_Node]]:
@@ -127,7 +149,7 @@ def parse(html: str) -> tuple[_Node, list[_Node]]:
         if tag == "body":
             close("head")
         parent, _, dropped, article, main, content = stack[-1]
-        bad, is_content, is_main = _named(attributes)
+        bad, is_content, is_main = _named(attributes, tag)
         heading_header = tag == "header" and article
         dropped = dropped or tag in DROPPED or (tag == "header" and not heading_header) or (bad and tag not in ("html", "body"))
         if heading_header and not dropped:

@@ -45,6 +45,11 @@ def test_articles_are_extracted_whole(spark, pages):
         ("<body><header>S</header><aside>x</aside><article><header><h1>T&amp;x</h1>by me</header><p>o<b>n</b>e<p>t&nbsp;w</article>", "T&x one t w"),
         ("<div class='post-content'>a<br>b<div class=ad>c</div></div><div id=cookie-notice>d</div>", "a b"),
         ("<main><p>m</p><form><p>f</form><section id='comments'><article class=comment>c</article></section></main>", "m"),
+        ('<article class="post has-comments"><p>Real <b>text</b></p></article><div class="has-comments">x</div>', "Real text"),
+        ('<div class="content no-sidebar"><p>whole</p></div><div class="left sidebar">s</div>', "whole"),
+        ('<article><p>a</p><div class="social-history"><p>b</p></div><div class="search-results">c</div><div class="social-links">d</div><div id="search-box">e</div></article>', "a b c"),
+        ('<article class="entry"><p>m</p></article><article class="comment"><p>n</p></article>', "m"),
+        ('<article><p>m</p><div class="comment-body"><p>n</p></div><div class="post-footer">f</div><div class="ad-content">g</div></article>', "m"),
         ("<div>" * 20000 + "deep" + "</div>" * 20000, "deep"),
         ("a < b &lt;c&gt; &am", "a < b <c> &am"),
         ("<table><tr><td>1<td>2<tr><td>3</table><script>var x='</p>'</script><!-- z -->", "1 2 3"),
