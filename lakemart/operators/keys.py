@@ -20,6 +20,16 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], tie_break: Sequence[s
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def mark_first(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Adds ``name``: true for exactly one row of each combination of ``keys``, NULLs being equal.
+
+    Counting the marks gives a distinct count next to other sums without a hash table of all combinations, which, where
+    almost every row is one of its own, holds the sums of as many groups as there are rows, twice. Rows are sorted instead.
+    """
+    same = Window.partitionBy(*keys).orderBy(keys[0])
+    return df.withColumn(name, F.lag(F.lit(1)).over(same).isNull())
+
+
 def _rederived(df: DataFrame, key: str) -> DataFrame:
     """Same rows and key values, but the planner no longer sees that they are partitioned by the key."""
     column = F.col(key)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.dates import days_crossed, month_start, months_crossed
 from lakemart.functions.numbers import money, money_sum, ratio, round_half_away
 from lakemart.operators.baskets import pair_totals, value_totals, weighted_baskets
-from lakemart.operators.keys import join_to_grouped
+from lakemart.operators.keys import join_to_grouped, mark_first
 from lakemart.operators.ranking import global_ntile, global_ntiles
 from lakemart.plans.facts import DELIVERED, SLOW
 
@@ -126,9 +126,10 @@ def rpt_seller_performance(lake) -> DataFrame:
         F.count("review_score").alias("score_count"),
         F.sum("review").alias("reviews"),
     )
-    lines = join_to_grouped(lake.model("fact_order_items"), per_order, "order_id", "left")
+    lines = lake.model("fact_order_items").select("order_id", "seller_id", "item_price", "total_line_value")
+    lines = join_to_grouped(mark_first(lines, ["order_id", "seller_id"], "first"), per_order, "order_id", "left")
     totals = lines.groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        F.count_if(F.col("first") & F.col("order_id").isNotNull()).alias("total_orders"),
         F.count(F.lit(1)).alias("total_items_sold"),
         round_half_away(money_sum(F.col("total_line_value")), 2).alias("total_revenue"),
         round_half_away(ratio(money_sum(F.col("item_price")), F.count("item_price")), 2).alias("avg_item_price"),
