@@ -58,10 +58,15 @@ def obt_sales_analytics(lake) -> DataFrame:
     """One row per order line with everything known about its order, buyer, product and seller."""
     buyers = lake.model("stg_customers").select("customer_id", "customer_unique_id", "customer_city", "customer_state")
     orders = lake.model("fact_orders").withColumnRenamed("date_key", "order_date").join(buyers, "customer_id")
-    # By order first: where the facts are laid out by it, the lines stay where they are.
-    lines = lake.model("fact_order_items").join(orders, "order_id")
-    lines = join_to_grouped(lines, lake.attributes("dim_products"), "product_id")
-    return join_to_grouped(lines, lake.attributes("dim_sellers"), "seller_id").select(
+    lines = lake.model("fact_order_items").drop("total_line_value")
+    products, sellers = lake.attributes("dim_products"), lake.attributes("dim_sellers")
+    if lake.buckets and lake.is_written("fact_order_items"):
+        # Lines that are laid out by order stay where they are for the order's columns; products, the widest, come last.
+        lines = join_to_grouped(join_to_grouped(lines.join(orders, "order_id"), sellers, "seller_id"), products, "product_id")
+    else:
+        # The order's columns are the most: lines move for products and sellers while they are narrow.
+        lines = join_to_grouped(join_to_grouped(lines, products, "product_id"), sellers, "seller_id").join(orders, "order_id")
+    return lines.withColumn("total_line_value", F.col("item_price") + F.col("freight_value")).select(
         "order_id", "order_item_id", "product_id", "seller_id", "item_price", "freight_value", "total_line_value",
         "customer_id", "order_status", "order_date", "is_late",
         "customer_unique_id", "customer_city", "customer_state",

@@ -43,3 +43,12 @@ def test_orders_without_a_key_are_not_counted(tables):
     )
     assert rows(lake.model("rpt_seller_performance").select("total_orders", "total_items_sold", "total_revenue")) == [(2, 5, 4.5)]
     assert rows(lake.model("rpt_product_category_analysis").select("total_orders", "total_items_sold", "total_revenue")) == [(2, 5, 4.5)]
+
+
+def test_lines_move_before_they_are_wide(spark, setting):
+    """The columns of the order are joined after the exchanges by product and seller, and no sum of two columns is carried."""
+    setting(autoBroadcastJoinThreshold=-1, adaptive__enabled="false")
+    plan = plan_of(Lake.from_standin(spark, SF_DIR).model("obt_sales_analytics"))
+    joins = re.findall(r"SortMergeJoin \[(\w+)\], \[\w+\], Inner", plan)
+    assert joins[:3] == ["order_id", "seller_id", "product_id"]
+    assert re.search(r"total_line_value", plan.split("SortMergeJoin", 1)[1]) is None
