@@ -106,23 +106,36 @@ def _result(check: str, column: str | None, failures: Column) -> Column:
     return F.struct(F.lit(check).alias("check"), label, failures.cast("bigint").alias("failures"))
 
 
-def _uniqueness(table: DataFrame, model: str) -> list[DataFrame]:
+def _inline(found: DataFrame, model: str) -> DataFrame:
+    return found.select(F.inline("results")).select(F.lit(model).alias("model"), "*")
+
+
+def _uniqueness(table: DataFrame, model: str, columns: list[str]) -> list[DataFrame]:
     """One grouped count per unique column."""
     checks = []
-    for column in UNIQUE.get(model, []):
+    for column in columns:
         found = duplicate_values(table, column)
-        checks.append(found.agg(F.array(_result("unique", column, F.count(F.lit(1)))).alias("results")))
-    return [c.select(F.inline("results")).select(F.lit(model).alias("model"), "*") for c in checks]
+        checks.append(_inline(found.agg(F.array(_result("unique", column, F.count(F.lit(1)))).alias("results")), model))
+    return checks
 
 
 def _single_pass(table: DataFrame, model: str, must_have_rows: bool) -> list[DataFrame]:
-    """All NULL and emptiness checks of a table that was not measured as it was written, from one pass."""
-    checks = [_result("not_null", c, F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(model, [])]
+    """All checks of a table that was not measured as it was written, from one pass.
+
+    The rows are counted per value of the first unique column, NULL included; these counts hold what the NULL and
+    emptiness checks need as well. Only a second unique column takes another pass.
+    """
+    unique, required = UNIQUE.get(model, []), NOT_NULL.get(model, [])
+    nulls = {f"nulls_{i}": column for i, column in enumerate(required)}
+    counts = [F.count(F.lit(1)).alias("copies"), *[F.count_if(F.col(c).isNull()).alias(name) for name, c in nulls.items()]]
+    groups = table.groupBy(*[F.col(c).alias("value") for c in unique[:1]]).agg(*counts)
+    checks = [_result("unique", c, F.count_if(F.col("value").isNotNull() & (F.col("copies") > 1))) for c in unique[:1]]
+    checks += [_result("not_null", c, F.coalesce(F.sum(name), F.lit(0))) for name, c in nulls.items()]
     if must_have_rows:
-        checks.append(_result("not_empty", None, F.count(F.lit(1)) == 0))
+        checks.append(_result("not_empty", None, F.coalesce(F.sum("copies"), F.lit(0)) == 0))
     if not checks:
         return []
-    return [table.agg(F.array(*checks).alias("results")).select(F.inline("results")).select(F.lit(model).alias("model"), "*")]
+    return [_inline(groups.agg(F.array(*checks).alias("results")), model), *_uniqueness(table, model, unique[1:])]
 
 
 def _measured(lake, models: list[str]) -> DataFrame:
@@ -139,7 +152,7 @@ def run_checks(lake, models: list[str]) -> DataFrame:
     """(model, check, column, failures) for every declared constraint of ``models``; failures = 0 is a pass.
 
     NULLs and emptiness of models this lake has written were measured by the write itself; only uniqueness reads their
-    files. Other models are read in one pass for both.
+    files. Other models are read in one pass for all three.
     """
     from lakemart.plans import GOLD
 
@@ -147,9 +160,10 @@ def run_checks(lake, models: list[str]) -> DataFrame:
     checks = [_measured(lake, written)]
     for model in models:
         table = lake.model(model)
-        if model not in lake.measured:
+        if model in lake.measured:
+            checks += _uniqueness(table, model, UNIQUE.get(model, []))
+        else:
             checks += _single_pass(table, model, model in GOLD)
-        checks += _uniqueness(table, model)
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -52,3 +52,16 @@ def test_lines_move_before_they_are_wide(spark, setting):
     joins = re.findall(r"SortMergeJoin \[(\w+)\], \[\w+\], Inner", plan)
     assert joins[:3] == ["order_id", "seller_id", "product_id"]
     assert re.search(r"total_line_value", plan.split("SortMergeJoin", 1)[1]) is None
+
+
+def test_a_model_is_checked_in_one_pass(spark, tables):
+    """NULLs, emptiness and the first unique column come from one grouped count."""
+    from lakemart.plans import checks
+
+    frame = spark.createDataFrame([("R1", "O1", 5), ("R1", None, 4), (None, "O2", None), (None, None, 1)], "review_id string, order_id string, review_score int")
+    found = checks._single_pass(frame, "fact_reviews", True)
+    assert len(found) == 1
+    assert rows(found[0].select("check", "column", "failures")) == sorted([("unique", "review_id", 1), ("not_null", "review_id", 2), ("not_null", "order_id", 2), ("not_null", "review_score", 1), ("not_empty", None, 0)], key=str)
+    empty = checks._single_pass(frame.where("false"), "fact_reviews", True)[0]
+    assert {r["check"]: r["failures"] for r in empty.collect()} == {"unique": 0, "not_null": 0, "not_empty": 1}
+    assert [r["failures"] for r in checks._single_pass(frame.where("false"), "obt_sales_analytics", True)[0].collect()] == [1]
