@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,6 +13,7 @@ from lakemart.functions.numbers import ratio, round_half_away
 from lakemart.lake import Lake
 from lakemart.operators.bitmaps import bitmaps, counted, shared, united
 from lakemart.plans.facts import DELIVERED
+from lakemart.session import materialize
 from lakemart.sources.keymap import KeyMap
 from lakemart.streaming.ledger import DayLedger
 
@@ -22,19 +25,40 @@ def key_maps(spark: SparkSession, root: str) -> dict[str, KeyMap]:
     return {what: KeyMap(spark, f"{root}/{what}") for what in ("persons", "products")}
 
 
-def month_sets(lake: Lake, keys: dict[str, KeyMap]) -> DataFrame:
-    """``month, what, bucket, bits``: the persons with delivered orders and the products sold in them, by month."""
-    orders = lake.model("fact_orders").where(F.col("order_status") == DELIVERED)
-    orders = orders.select("order_id", "customer_id", month_start(F.col("date_key")).alias("month"))
+def month_members(lake: Lake, *parts: Column) -> DataFrame:
+    """``what, month, key``, without repeats: the persons with delivered orders and the products sold in them, by month.
+
+    ``parts`` are columns of the orders that tell deliveries apart; a member is listed for each of them.
+    """
+    orders = lake.model("fact_orders").where(F.col("order_status") == DELIVERED).select("*", *parts)
+    extra = orders.columns[len(lake.model("fact_orders").columns) :]
+    orders = orders.select("order_id", "customer_id", month_start(F.col("date_key")).alias("month"), *extra)
     persons = orders.join(lake.model("stg_customers").select("customer_id", F.col("customer_unique_id").alias("key")), "customer_id")
     products = orders.join(lake.model("fact_order_items").select("order_id", F.col("product_id").alias("key")), "order_id")
-    found = []
-    for what, rows in (("persons", persons), ("products", products)):
-        pairs = rows.where("key is not null").select(F.lit(what).alias("what"), "month", "key").distinct()
-        found.append(bitmaps(keys[what].numbered(pairs, "key", "number"), ["month", "what"], "number"))
+    found = [
+        rows.where("key is not null").select(F.lit(what).alias("what"), "month", "key", *extra).distinct()
+        for what, rows in (("persons", persons), ("products", products))
+    ]
     return found[0].unionByName(found[1])
 
 
+def sets_of(members: DataFrame, keys: dict[str, KeyMap]) -> DataFrame:
+    """``month, what, bucket, bits`` of ``what, month, key``, which is read twice for each ``what``."""
+    found = []
+    for what, numbers in keys.items():
+        own = members.where(F.col("what") == what).select("what", "month", "key")
+        found.append(bitmaps(numbers.numbered(own, "key", "number"), ["month", "what"], "number"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def month_sets(lake: Lake, keys: dict[str, KeyMap]) -> DataFrame:
+    """``month, what, bucket, bits``: the persons with delivered orders and the products sold in them, by month.
+
+    The members are written once: orders and lines are joined once for the new keys and for all numbers.
+    """
+    return sets_of(materialize(month_members(lake), "members"), keys)
+
+
 def month_state(spark: SparkSession, root: str) -> DayLedger:
     """A ledger with one entry for each month, under its first day."""
     return DayLedger(spark, root, ["sets"], {"sets": StructType.fromDDL(_SETS)})

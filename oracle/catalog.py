@@ -850,12 +850,10 @@ def _kept_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _month_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The months' sets, made in three parts of the orders that share all months, and put together."""
-    source, keys = standin_source(spark, sf_dir), actives.key_maps(spark, scratch_path(spark, "keys"))
-    parts = []
-    for part in (2, 0, 1):
-        own = F.regexp_extract("order_id", "[0-9]+", 0).cast("long") % 3 == part
-        lake = Lake(spark, lambda table, own=own: source(table).where(own) if table == "orders" else source(table))
-        parts.append(materialize(actives.month_sets(lake, keys), "sets"))
+    lake, keys = Lake.from_standin(spark, sf_dir), actives.key_maps(spark, scratch_path(spark, "keys"))
+    part = F.regexp_extract("order_id", "[0-9]+", 0).cast("long") % 3
+    members = materialize(actives.month_members(lake, part.alias("part")), "members")
+    parts = [materialize(actives.sets_of(members.where(F.col("part") == p), keys), "sets") for p in (2, 0, 1)]
     return bitmaps.united(reduce(DataFrame.unionByName, parts), ["month", "what"])
 
 

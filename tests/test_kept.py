@@ -1,6 +1,7 @@
 """Keys and sets that are kept: surrogate keys across rebuilds, distinct counts that merge."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +72,21 @@ def test_sets_merge_in_any_order_and_count_exactly(spark):
     assert dict(rows(shared(*halves, ["g"], "c"))) == both
 
 
+def test_orders_and_lines_are_joined_once_for_all_numbers(spark, tmp_path):
+    """What the key maps number is read from one written table; deliveries told apart give the same sets."""
+    lake = Lake.from_standin(spark, SF_DIR)
+    sets = actives.month_sets(lake, actives.key_maps(spark, str(tmp_path / "one")))
+    scans = re.findall(r"(\w+)\.parquet", sets._jdf.queryExecution().optimizedPlan().toString() + str(sets.inputFiles()))
+    assert not {"orders", "lineitem", "customer"} & set(scans)
+    members = actives.month_members(lake, (F.length("order_id") % 2).alias("part")).cache()
+    keys = actives.key_maps(spark, str(tmp_path / "two"))
+    parts = [actives.sets_of(members.where(F.col("part") == p), keys) for p in (1, 0)]
+    both = united(parts[0].unionByName(parts[1]), ["month", "what"])
+    for what in ("persons", "products"):
+        assert rows(actives.monthly_counts(both, what, "n")) == rows(actives.monthly_counts(sets, what, "n")) != []
+    assert members.count() > members.drop("part").distinct().count()
+
+
 def test_months_carried_over_days_equal_a_recount(spark, tmp_path):
     source = standin_source(spark, SF_DIR)
     ledger = DayLedger(spark, str(tmp_path / "days"), schemas={t: source(t).schema for t in SOURCE_TABLES})
