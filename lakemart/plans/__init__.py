@@ -56,16 +56,20 @@ SURROGATE_KEYS = {"dim_customers": "customer_sk", "dim_sellers": "seller_sk", "d
 # Facts that are joined by order, and the column that a lake with buckets lays them out by.
 LAID_OUT = dict.fromkeys(("fact_orders", "fact_order_items", "fact_payments", "fact_reviews", "fact_order_lifecycle", "fact_shipping_network"), "order_id")
 
-# Rows that exist exactly if a model has rows, without the ranking or the running sums of the model itself.
+# Rows that exist exactly if a model has rows, without what the model does to them. A choice of one row per key, a left
+# join or a grouping takes no last row away.
 _BEFORE_RANKING = {
-    "rpt_customer_rfm": lambda lake: products.delivered_sales(lake).where("person is not null"),
-    "rpt_customer_ltv": lambda lake: products.delivered_sales(lake).where("person is not null"),
-    "snapshot_daily_seller_backlog": lambda lake: facts.backlog_lines(lake).where("closed is null or closed >= opened"),
+    "dim_customers": lambda lake: lake.model("stg_customers"),
+    "dim_sellers": lambda lake: lake.source("sellers"),
+    "dim_products": lambda lake: lake.source("products"),
+    "dim_geolocation": lambda lake: lake.model("stg_geolocation"),
+    "fact_reviews": lambda lake: lake.source("order_reviews"),
+    "rpt_market_basket": products.frequent_pairs,
 }
 
 
 def presence(lake, model: str):
     """A frame that is empty exactly if the model is."""
-    if model in ATTRIBUTES:
-        return lake.attributes(model)
+    if lake.is_written(model):
+        return lake.model(model)
     return _BEFORE_RANKING.get(model, lambda lake: lake.model(model))(lake)

@@ -87,17 +87,24 @@ def measures(model: str) -> list[Column]:
 def empty_models(lake, models: list[str]) -> DataFrame:
     """(model_name, row_count) of each empty model.
 
-    Models written by this lake were counted as they were written. Of others one row is enough to know, and a model that
-    ranks its rows is asked for the rows it would rank.
+    Models written by this lake were counted as they were written. Of others one row is enough to know, and a model is
+    asked for the rows that it would rank or sum up. Those that join lines to orders are all read from one such join.
     """
     from lakemart.plans import presence
+    from lakemart.plans.evidence import EVIDENCE, evidence
 
     written = [(m, lake.measured[m]["rows"]) for m in models if m in lake.measured]
     found = [lake.spark.createDataFrame([w for w in written if w[1] == 0], "model_name string, row_count long")]
-    for model in models:
-        if model not in lake.measured:
+    others = [m for m in models if m not in lake.measured]
+    joined = [m for m in others if m in EVIDENCE and not lake.is_written(m)]
+    for model in others:
+        if model not in joined:
             one = not_empty(presence(lake, model).limit(1))
             found.append(one.select(F.lit(model).alias("model_name"), "row_count"))
+    if joined:
+        there = F.array(*[F.struct(F.lit(m).alias("model_name"), F.coalesce(F.col(m), F.lit(False)).alias("there")) for m in joined])
+        empty = evidence(lake).select(F.inline(there)).where("not there")
+        found.append(empty.select("model_name", F.lit(0).cast("long").alias("row_count")))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import days_crossed, hours_crossed
@@ -103,12 +103,16 @@ def fact_shipping_network(lake) -> DataFrame:
     return routes.select("order_id", "cust_lat", "cust_lng", "sell_lat", "sell_lng", distance.alias("distance_km"))
 
 
+def backlog_days() -> tuple[Column, Column]:
+    """First and last day on which the lines of an order are open, from the columns of ``stg_orders``."""
+    return F.col("order_purchase_timestamp").cast("date"), F.col("order_delivered_customer_date").cast("date")
+
+
 def backlog_lines(lake) -> DataFrame:
     """Order lines that are open at some time: seller, first day, last day or NULL, worth."""
+    opened, closed = backlog_days()
     orders = lake.model("stg_orders").where(F.col("order_status").isin(*BACKLOG_STATUSES)).select(
-        "order_id",
-        F.col("order_purchase_timestamp").cast("date").alias("opened"),
-        F.col("order_delivered_customer_date").cast("date").alias("closed"),
+        "order_id", opened.alias("opened"), closed.alias("closed")
     )
     lines = lake.model("stg_order_items").select(
         "order_id", "seller_id", (F.col("price") + F.col("freight_value")).alias("line_value")

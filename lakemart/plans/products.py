@@ -299,17 +299,29 @@ def rpt_customer_ltv(lake) -> DataFrame:
     )
 
 
-def rpt_market_basket(lake) -> DataFrame:
-    """Category pairs bought in the same order, for pairs seen in at least five orders."""
+def _category_baskets(lake) -> DataFrame:
     categories = lake.attributes("dim_products").select("product_id", "product_category_name")
     lines = lake.model("fact_order_items").select("order_id", "product_id")
-    members = join_to_grouped(lines, categories, "product_id")
-    baskets = weighted_baskets(members, "order_id", "product_category_name")
+    return weighted_baskets(join_to_grouped(lines, categories, "product_id"), "order_id", "product_category_name")
+
+
+def _frequent_pairs(baskets: DataFrame) -> DataFrame:
     pairs = pair_totals(baskets, "category_a", "category_b", "co_occurrence_count")
+    return pairs.where(F.col("co_occurrence_count") >= MIN_CO_OCCURRENCE)
+
+
+def frequent_pairs(lake) -> DataFrame:
+    """The category pairs of ``rpt_market_basket`` without the totals of their categories."""
+    return _frequent_pairs(_category_baskets(lake))
+
+
+def rpt_market_basket(lake) -> DataFrame:
+    """Category pairs bought in the same order, for pairs seen in at least five orders."""
+    baskets = _category_baskets(lake)
+    pairs = _frequent_pairs(baskets)
     together, a, b = F.col("co_occurrence_count"), F.col("category_a_orders"), F.col("category_b_orders")
     return (
-        pairs.where(together >= MIN_CO_OCCURRENCE)
-        .join(value_totals(baskets, "category_a", "category_a_orders"), "category_a")
+        pairs.join(value_totals(baskets, "category_a", "category_a_orders"), "category_a")
         .join(value_totals(baskets, "category_b", "category_b_orders"), "category_b")
         .select(
             "category_a",

@@ -65,3 +65,39 @@ def test_a_model_is_checked_in_one_pass(spark, tables):
     empty = checks._single_pass(frame.where("false"), "fact_reviews", True)[0]
     assert {r["check"]: r["failures"] for r in empty.collect()} == {"unique": 0, "not_null": 0, "not_empty": 1}
     assert [r["failures"] for r in checks._single_pass(frame.where("false"), "obt_sales_analytics", True)[0].collect()] == [1]
+
+
+def test_emptiness_of_all_models_moves_lines_once(spark, setting):
+    """The models that join lines to orders are looked at in one join; only baskets need another pass over the lines."""
+    from lakemart.plans import GOLD, checks
+    from lakemart.sources.standin import standin_source
+
+    source = standin_source(spark, SF_DIR)
+    setting(adaptive__enabled="false")
+    found = checks.empty_models(Lake(spark, source), [m for m in GOLD if m != "rpt_market_basket"])
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem", plan_of(found))
+    assert len(scans) == 2 and len([s for s in scans if "l_suppkey" in s]) == 1  # the other: fact_order_items, its first row
+    for lacking in ("order_items", "customers", "sellers", "geolocation", "orders"):
+        lake = Lake(spark, lambda t, lacking=lacking: source(t).where("false") if t == lacking else source(t))
+        models = [m for m in GOLD if m not in ("rpt_customer_rfm", "rpt_customer_ltv", "dim_date", "rpt_market_basket")]
+        assert {r[0] for r in checks.empty_models(lake, models).collect()} == {m for m in models if lake.model(m).isEmpty()}
+
+
+def test_marks_of_one_order_are_not_mixed_with_those_of_another(spark, tables):
+    from lakemart.plans.evidence import evidence
+
+    stamps = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"]
+    made = dict(
+        orders=("order_id string, customer_id string, order_status string, " + ", ".join(f"{s} timestamp_ntz" for s in stamps), [("A", "C1", "delivered", *[None] * 5), ("B", "C2", "canceled", *[None] * 5), (None, "C3", "delivered", *[None] * 5)]),
+        order_items=("order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double", [("B", 1, "P", "S", 1.0, 1.0), (None, 1, "P", None, 1.0, 1.0)]),
+        customers=("customer_id string, customer_unique_id string, customer_zip_code_prefix int, customer_city string, customer_state string", [("C1", None, 1, "c", "s"), ("C2", "U", 2, "c", "s"), ("C3", "U", 1, "c", "s")]),
+        sellers=("seller_id string, seller_zip_code_prefix int, seller_city string, seller_state string", [("S", 1, "c", "s")]),
+        products=("product_id string, product_category_name string, product_weight_g int, product_length_cm double, product_height_cm double, product_width_cm double", [("P", None, 1, 1.0, 1.0, 1.0)]),
+        product_category_name_translation=("product_category_name string, product_category_name_english string", []),
+        geolocation=("geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double", [(1, 0.0, 0.0)]),
+        order_reviews=("review_id string, order_id string, review_score int, review_comment_title string, review_comment_message string, review_creation_date timestamp_ntz, review_answer_timestamp timestamp_ntz", []),
+    )
+    there = {m for m, found in evidence(tables(**made)).first().asDict().items() if found}
+    assert there == {"obt_sales_analytics", "rpt_seller_performance", "rpt_product_category_analysis"}
+    lake = tables(**made)
+    assert there == {m for m in evidence(lake).columns if m not in ("rpt_customer_rfm", "rpt_customer_ltv") and not lake.model(m).isEmpty()}
