@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm import decontaminate, near_dedup, pieces, pii, toxicity
-from lakemart.session import materialize
+from lakemart.session import BATCH_BYTES, apply_defaults, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +36,24 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pieces.encode(docs)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    """Texts go to Python tasks in batches of bounded bytes: an executor runs all stages and keeps what the largest took."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(apply_defaults(spark, BATCH_BYTES), docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", one_per_class),
-    ("decontamination", drop_leaks),
-    ("pii", mask_personal_data),
-    ("pieces", encode_pieces),
+    ("toxicity", _in_small_batches(drop_toxic)),
+    ("near_dedup", _in_small_batches(one_per_class)),
+    ("decontamination", _in_small_batches(drop_leaks)),
+    ("pii", _in_small_batches(mask_personal_data)),
+    ("pieces", _in_small_batches(encode_pieces)),
 ]
 
 # Learned scores, hashed signatures and sampled segmentations are beyond SQL.

@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 21
+SLICE_BYTES = 1 << 21
+# Bytes hashed at a time; some five 64-bit numbers are held for each.
+BLOCK_BYTES = 1 << 18
 
 _U64 = np.uint64
 _IS_WORD = np.array([b >= 128 or chr(b).isalnum() or b == 95 for b in range(256)])
@@ -53,7 +55,7 @@ def text_buffer(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def text_slices(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+def text_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``limit`` bytes; a longer text stands alone."""
     first, rows = 0, len(offsets) - 1
     while first < rows:

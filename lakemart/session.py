@@ -18,14 +18,18 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Bytes of rows that cross to a Python task at once. By Spark's own bound, rows and 64 MB, a task and its worker each
+# hold several copies of tens of MB of long texts.
+BATCH_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
+
 _local_scratch: str | None = None
 # Scratch tables of the innermost open scope; outside of any, those that ``release_scratch`` deletes.
 _written: ContextVar[list[str]] = ContextVar("written", default=[])
 
 
-def apply_defaults(spark: SparkSession) -> SparkSession:
+def apply_defaults(spark: SparkSession, settings: dict[str, str] = RUNTIME_DEFAULTS) -> SparkSession:
     explicit = spark.conf.getAll
-    for key, value in RUNTIME_DEFAULTS.items():
+    for key, value in settings.items():
         if key not in explicit:
             spark.conf.set(key, value)
     return spark

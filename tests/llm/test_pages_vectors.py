@@ -252,3 +252,15 @@ def test_pipeline_stages(spark):
     final = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
     assert final.count() == docs.count() and final.where("not lossless").count() == 0
     assert 0 < corpus_pipeline.run(spark, SF_DIR).count() < documents.count()
+
+
+def test_stages_hand_texts_over_in_small_batches(spark, setting):
+    from lakemart.session import BATCH_BYTES
+
+    (key,) = BATCH_BYTES
+    setting(**{key.removeprefix("spark.sql.").replace(".", "__"): "64m"})
+    spark.conf.unset(key)
+    documents = spark.range(3000).selectExpr("id as doc_id", "repeat(concat('word', id % 7, ' '), 400) as text")
+    corpus_pipeline.STAGES[4][1](spark, documents, SF_DIR)
+    sizes = documents.coalesce(1).mapInArrow(lambda batches: (type(b).from_pydict({"bytes": [b.nbytes]}) for b in batches), "bytes long")
+    assert sizes.count() > 3 and sizes.agg({"bytes": "max"}).first()[0] < 3e6

@@ -56,6 +56,17 @@ def test_word_hashes_tell_words_apart_and_ignore_batches():
     assert alone[0] == known["cat"]
 
 
+def test_hashing_holds_a_bounded_number_of_words():
+    import tracemalloc
+
+    data = np.frombuffer((b"some words and more of them " * 75_000)[:2_000_000], np.uint8)
+    tracemalloc.start()
+    hashes, first, _ = words.word_hashes(data, np.array([0, 700_001, 700_001, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(hashes) == len(first) > 400_000 and peak < 30e6
+
+
 def test_long_words_over_block_edges(monkeypatch):
     monkeypatch.setattr(words, "BLOCK_BYTES", 16)
     text = "short words and " + "l" * 100 + " end of it"
