@@ -126,10 +126,12 @@ def snapshot_daily_seller_backlog(lake) -> DataFrame:
     A line is open from the purchase day to the delivery day inclusive; undelivered lines stay open to the last
     purchase day in the data.
     """
-    backlog = open_per_day(backlog_lines(lake), "seller_id", "opened", "closed", "line_value")
+    backlog = open_per_day(
+        backlog_lines(lake), "seller_id", "opened", "closed", "line_value", lambda total: round_half_away(total, 2)
+    )
     return backlog.select(
         "seller_id",
         F.col("day").alias("snapshot_date"),
         F.col("open_count").alias("open_orders_count"),
-        round_half_away(F.col("open_amount"), 2).alias("revenue_in_transit"),
+        F.col("open_amount").alias("revenue_in_transit"),
     )

@@ -1,11 +1,13 @@
 """What a task holds and what an exchange carries must not grow faster than the input."""
 
+import datetime as dt
 import re
 
 import pytest
 
 from conftest import SF_DIR, rows
 from lakemart import Lake
+from lakemart.operators import intervals
 from lakemart.operators.keys import mark_first
 
 
@@ -101,3 +103,50 @@ def test_marks_of_one_order_are_not_mixed_with_those_of_another(spark, tables):
     assert there == {"obt_sales_analytics", "rpt_seller_performance", "rpt_product_category_analysis"}
     lake = tables(**made)
     assert there == {m for m in evidence(lake).columns if m not in ("rpt_customer_rfm", "rpt_customer_ltv") and not lake.model(m).isEmpty()}
+
+
+def _days_by_hand(spans):
+    """Count and total of ``open_per_day``, day by day."""
+    spans = [(k, s and dt.date.fromisoformat(s), e and dt.date.fromisoformat(e), a) for k, s, e, a in spans if s]
+    last, found = max(s for _, s, _, _ in spans), {}
+    for key, start, end, amount in spans:
+        for day in range((min(end or last, last) - start).days + 1):
+            at = key, start + dt.timedelta(days=day)
+            n, total = found.get(at, (0, 0.0))
+            found[at] = n + 1, total + (amount or 0.0)
+    return sorted(((*at, *open_) for at, open_ in found.items()), key=str)
+
+
+SPANS = [
+    ("a", "2020-01-01", "2020-01-03", 1.25), ("a", "2020-01-01", "2020-01-01", 2.5), ("a", "2020-01-02", None, 4.0), ("a", "2020-01-04", "2020-01-01", 8.0),
+    ("a", "2020-01-02", None, 4.0), ("b", "2020-01-03", "2020-02-01", 1.0), ("b", "2020-01-04", "2020-01-04", None), ("c", "2020-01-05", "2020-01-02", 1.0),
+    (None, "2020-01-01", "2020-01-02", 3.0), (None, "2020-01-02", "2020-01-02", 3.5), (None, "2020-01-04", None, None), ("a", None, "2020-01-03", 9.0), ("d", None, None, 1.0),
+]
+
+
+@pytest.mark.parametrize("many", [100, 3, 2, 0])
+def test_open_days_of_keys_with_many_intervals(spark, monkeypatch, many):
+    """Keys, NULL as well, give the same days whether they are summed per day on the way (more than ``many``) or not."""
+    monkeypatch.setattr(intervals, "MANY", many)
+    frame = spark.createDataFrame(SPANS, "k string, s string, e string, a double").selectExpr("k", "cast(s as date) s", "cast(e as date) e", "a")
+    assert rows(intervals.open_per_day(frame, "k", "s", "e", "a")) == _days_by_hand(SPANS)
+    assert rows(intervals.open_per_day(frame.where("k = 'd'"), "k", "s", "e", "a")) == []
+
+
+def test_intervals_move_once_and_are_not_written_as_events(spark, setting, monkeypatch):
+    """What is written has a row for an interval, not one for each of its ends; one exchange then brings it to its key."""
+    written, write = [], intervals.materialize
+    monkeypatch.setattr(intervals, "materialize", lambda df, label: written.append(df.count()) or write(df, label))
+    setting(adaptive__enabled="false")
+    frame = spark.range(200).selectExpr("cast(id % 5 as string) as k", "date_add(date'2020-01-01', cast(id as int)) as s", "date_add(date'2020-01-04', cast(id as int)) as e", "1.0D as a")
+    found = intervals.open_per_day(frame, "k", "s", "e", "a")
+    assert sum(written) <= 200
+    few = plan_of(found).split("Union", 1)[1].split("Exchange hashpartitioning", 1)[0]  # from the days down to the first exchange
+    assert "Window" in few and "explode(array(struct(day" in few and "Aggregate" not in few.split("+- Window", 1)[1]
+
+
+def test_backlog_is_rounded_before_its_days(spark):
+    """A total is rounded once for all days on which it stays."""
+    plan = plan_of(Lake.from_standin(spark, SF_DIR).model("snapshot_daily_seller_backlog"))
+    above, below = plan.split("explode(sequence", 1)
+    assert "round(" in below and "round(" not in above
